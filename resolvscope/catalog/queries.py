@@ -6,6 +6,7 @@ The tables are small, so interval length, thresholds and list lengths are set he
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,7 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+@lru_cache(maxsize=None)
 def lookups(spark: SparkSession, folder: str) -> enrich.Lookups:
     return enrich.Lookups(
         client=fx.client_rule(spark, folder),
@@ -84,11 +86,11 @@ def clean_rows(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
 
 def client_rows(spark: SparkSession, folder: str, seconds: int = WINDOW) -> DataFrame:
     """Clean rows with client and interval: enough for every report that shows no place."""
-    return counts.at_window(enrich.with_client(clean_rows(spark, folder), fx.client_rule(spark, folder)), seconds)
+    return counts.at_window(enrich.with_client(clean_rows(spark, folder), lookups(spark, folder).clients), seconds)
 
 
 def base_rows(spark: SparkSession, folder: str, seconds: int = WINDOW) -> DataFrame:
-    return enrich.with_place(client_rows(spark, folder, seconds), fx.geo_range(spark, folder))
+    return enrich.with_place(client_rows(spark, folder, seconds), lookups(spark, folder).places)
 
 
 def top_detail(spark: SparkSession, folder: str, seconds: int = WINDOW) -> DataFrame:
@@ -110,7 +112,7 @@ def user_domain(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flow_base(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.flow_base(fx.flowmsg(spark, folder), enrich.app_ranges(fx.app_rule(spark, folder)))
+    return profile.flow_base(fx.flowmsg(spark, folder), enrich.app_index(fx.app_rule(spark, folder)))
 
 
 def as_json(rows: DataFrame) -> DataFrame:
@@ -277,7 +279,7 @@ def _(spark, folder):
 def _(spark, folder):
     path = work_path(spark, "user_domain")
     tables.write_user_domains(user_domain(spark, folder), path, files=6)
-    return spark.read.text(path)
+    return spark.read.text(path).select("value")
 
 
 @query("sink_insert_if_absent")
@@ -411,19 +413,19 @@ def _(spark, folder):
 @query("join_client_by_range")
 def _(spark, folder):
     log = fx.dns_log(spark, folder).select("event_id", F.col("ClientIP").alias("clientIp"))
-    return enrich.with_client(log, fx.client_rule(spark, folder))
+    return enrich.with_client(log, lookups(spark, folder).clients)
 
 
 @query("join_business_by_range")
 def _(spark, folder):
     rows = _with_aip(spark, folder).select("event_id", "aip")
-    return enrich.with_business(rows, fx.business_rule(spark, folder))
+    return enrich.with_business(rows, lookups(spark, folder).resources)
 
 
 @query("join_innet_flag")
 def _(spark, folder):
     rows = clean_rows(spark, folder, "event_id").select("event_id", "aip", "resolver")
-    return enrich.with_innet(rows, fx.innet_rule(spark, folder), fx.business_rule(spark, folder))
+    return enrich.with_innet(rows, lookups(spark, folder).innet_flags)
 
 
 @query("join_app_by_range")
@@ -434,19 +436,20 @@ def _(spark, folder):
 @query("join_geo_by_range")
 def _(spark, folder):
     rows = _with_aip(spark, folder).select("event_id", "aip")
-    return enrich.with_geo(rows, fx.geo_range(spark, folder), src.GEO_FIELDS, prefix="")
+    named = enrich.with_geo(rows, enrich.geo_index(fx.geo_range(spark, folder), src.GEO_FIELDS))
+    return named.withColumnsRenamed({f"geo_{f}": f for f in src.GEO_FIELDS})
 
 
 @query("prj_geo_metrics")
 def _(spark, folder):
     rows = clean_rows(spark, folder, "event_id").select("event_id", "aip", "resolver")
-    return enrich.with_geo_metrics(rows, fx.geo_range(spark, folder))
+    return enrich.with_geo_metrics(rows, lookups(spark, folder).places)
 
 
 @query("join_operator_province")
 def _(spark, folder):
     rows = _with_aip(spark, folder).select("event_id", "aip")
-    return enrich.with_place(rows, fx.geo_range(spark, folder))
+    return enrich.with_place(rows, lookups(spark, folder).places)
 
 
 @query("join_auth_domain")
@@ -874,15 +877,8 @@ def _(spark, folder):
     at = F.col("Timestamp")
     wanted = log.where((at >= LOW * 1000) & (at < HIGH * 1000))
     rows = five_minute.enrich_groups(five_minute.interval_groups(wanted, sizes), lookups(spark, folder))
-    made = five_minute.count_tables(rows, sizes)
-    items = [
-        made[types].select("types", "accesstime", "clientName", F.col(dim).cast("string").alias("item"), "number")
-        for types, (dim,) in counts.COUNT_REPORTS.items()
-    ]
-    whole = made["qps"].select("types", "accesstime", "clientName", F.lit("").alias("item"), "number")
-    for part in items:
-        whole = whole.unionByName(part)
-    return whole
+    rate = counts.qps(rows, sizes.seconds).select("types", "accesstime", "clientName", F.lit("").alias("item"), "number")
+    return counts.all_counts(rows).unionByName(rate)
 
 
 # ---------------------------------------------------------------- scalar functions

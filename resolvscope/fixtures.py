@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.domains import authority_domain
-from .operators.clean import ANSWERS
+from .operators.clean import ANSWERS, compute_once
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -57,16 +60,18 @@ def dns_log(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(found)
     )
     code = F.when(kind != "error", 0).when(k % 3 == 0, 2).when(k % 3 == 1, 3).otherwise(5)
-    return events.join(pages, "page_id").select(
-        "event_id",
-        domain.alias("Domain"),
-        F.col("at").alias("Timestamp"),
-        F.concat(F.lit("218.108.248."), (180 + event % 76).cast("string")).alias("ServerIP"),
-        (event % 10 != 0).alias("QR"),
-        F.when(kind == "signup", "AAAA").otherwise("A").alias("Type"),
-        code.cast("int").alias("ResponseCode"),
-        client_ip(user).alias("ClientIP"),
-        answers.alias("Answers"),
+    # As in a stored log, each field is computed once, before any filter.
+    return compute_once(
+        events.join(pages, "page_id"),
+        ["event_id"],
+        Domain=domain,
+        Timestamp=F.col("at"),
+        ServerIP=F.concat(F.lit("218.108.248."), (180 + event % 76).cast("string")),
+        QR=event % 10 != 0,
+        Type=F.when(kind == "signup", "AAAA").otherwise("A"),
+        ResponseCode=code.cast("int"),
+        ClientIP=client_ip(user),
+        Answers=answers,
     )
 
 
@@ -78,7 +83,8 @@ def dns_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The log as JSON lines. Every 101st line is cut short, so it is no JSON."""
     log = dns_log(spark, folder)
     text = F.to_json(F.struct(*[c for c in log.columns if c != "event_id"]))
-    return log.select("event_id", F.when(F.col("event_id") % 101 == 0, F.substring(text, 2, 20)).otherwise(text).alias("value"))
+    cut = F.when(F.col("event_id") % 101 == 0, F.substring(text, 2, 20)).otherwise(text)
+    return compute_once(log, ["event_id"], value=cut)
 
 
 def client_rule(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,8 +43,8 @@ TOP_SITES = [
 
 
 def any_literal(text: Column, parts: Iterable[str]) -> Column:
-    """True where the text holds any of the literal parts: one scan per name, no regex special characters."""
-    return text.rlike("|".join(r"\Q" + part + r"\E" for part in parts))
+    """True where the text holds any of the literal parts. Plain byte searches beat one regex alternation."""
+    return reduce(or_, [F.contains(text, F.lit(part)) for part in parts])
 
 
 def authority_domain(name: Column) -> Column:

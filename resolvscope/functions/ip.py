@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = 1 << 32
 
 
-def _octets(ip: Column) -> Column:
+def _with_parts(ip: Column, then: Callable[[Column], Column]) -> Column:
+    """Apply ``then`` to the parts of an address. The lambda binds them, so the text is split once per use in a filter too."""
     # Trailing dots carry no octet.
-    return F.split(F.regexp_replace(ip, r"\.+$", ""), r"\.")
+    parts = F.split(F.rtrim(ip, F.lit(".")), r"\.")
+    return F.when(ip.isNotNull(), F.get(F.transform(F.array(parts), then), F.lit(0)))
 
 
-def ip_to_long(ip: Column) -> Column:
-    """Dotted address to BIGINT. 0 unless there are four parts; null if a part is no number."""
-    parts = _octets(ip)
+def _combine(parts: Column) -> Column:
     value = F.lit(0).cast("bigint")
     for i in range(4):
-        octet = F.get(parts, F.lit(i)).try_cast("int").cast("bigint")
-        value = F.shiftleft(value, 8).bitwiseOR(octet)
-    return F.when(ip.isNull(), None).when(F.size(parts) == 4, value).otherwise(F.lit(0).cast("bigint"))
+        value = F.shiftleft(value, 8).bitwiseOR(F.get(parts, F.lit(i)).try_cast("bigint"))
+    return value
+
+
+def ip_to_long(ip: Column) -> Column:
+    """Dotted address to BIGINT. 0 unless there are four parts; null if a part is no number."""
+    return _with_parts(ip, lambda parts: F.when(F.size(parts) == 4, _combine(parts)).otherwise(F.lit(0).cast("bigint")))
+
+
+def ip_or_null(ip: Column) -> Column:
+    """Dotted address to BIGINT; null unless there are four numeric parts."""
+    return _with_parts(ip, lambda parts: F.when(F.size(parts) == 4, _combine(parts)))
 
 
 def long_to_ip(value: Column) -> Column:
@@ -47,8 +58,7 @@ def parse_cidr(cidr: str) -> tuple[int, int]:
 def in_cidr(ip: Column, cidr: str) -> Column:
     """Membership in a literal network; null for a null or malformed address."""
     low, high = parse_cidr(cidr)
-    four = F.size(_octets(ip)) == 4
-    return F.when(four, ip_to_long(ip).between(low, high))
+    return ip_or_null(ip).between(low, high)
 
 
 def bounds_of_cidr(ip: Column, bits: Column) -> tuple[Column, Column]:

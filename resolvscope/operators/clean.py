@@ -82,7 +82,7 @@ def in_window(log: DataFrame, begin_millis: int, seconds: int = FIVE_MINUTES, co
 
 def answered_by(log: DataFrame, network: str = RESOLVERS) -> DataFrame:
     """Responses that one of our resolvers gave."""
-    return log.where(in_cidr(F.col("ServerIP"), network) & F.col("QR"))
+    return log.where(F.col("QR") & in_cidr(F.col("ServerIP"), network))
 
 
 def is_address_query() -> Column:

@@ -68,13 +68,13 @@ def top_detail(
     kept = boosted(four_key(rows), lookups.whitelist, bonus).where(F.col("boosted") >= minimum)
     order = [F.desc("boosted"), *[F.asc(c) for c in FOUR_KEYS]]
     ranked = top_k(kept, ["accesstime"], order, k).drop("listed", "boosted")
-    return with_business(ranked, lookups.business)
+    return with_business(ranked, lookups.resources)
 
 
 def enrich_detail(top: DataFrame, lookups: Lookups) -> DataFrame:
     """Detail rows with in-net, site and geography columns."""
-    flagged = with_innet(top, lookups.innet, lookups.business)
-    placed = with_geo_metrics(flagged, lookups.geo)
+    flagged = with_innet(top, lookups.innet_flags)
+    placed = with_geo_metrics(flagged, lookups.places)
     sited = with_site(placed, lookups.auth_domain)
     return sited.withColumn("domain", strip_scheme(F.col("domain"))).select(*DETAIL_COLUMNS)
 
@@ -93,4 +93,4 @@ def top_site_rows(rows: DataFrame, lookups: Lookups, minimum: int = SITE_MINIMUM
     """Busy detail keys of the twenty busiest sites, with their business resource."""
     chosen = in_top_sites(F.col("domain"), sites) if sites else in_top_sites(F.col("domain"))
     summed = four_key(rows.where(chosen)).where(F.col("resolver") > minimum)
-    return with_business(summed, lookups.business)
+    return with_business(summed, lookups.resources)

@@ -6,14 +6,15 @@ otherwise sort-merges, where adaptive execution splits hot keys. Range lookups c
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import authority_domain, ip_to_long
 from .clean import CLEAN_COLUMNS, UNKNOWN_CLIENT
-from .ranges import match_ranges
+from .ranges import RangeIndex
 
 # Labels for what no lookup knows, and the place names the reports count.
 UNKNOWN = "未知"
@@ -27,6 +28,8 @@ NO_CONTACT = " "
 BUSINESS = ["resourceName", "resourceType", "resourceProps"]
 SITE = ["websiteName", "creditCode", "companyType", "companyName", "companyAddr", "onRecord", "websiteType", "soft"]
 SITE_UNKNOWN = {"companyType", "websiteType"}
+PLACE = ["country", "province", "city", "operator"]
+RANGE_INDEXES = ["clients", "resources", "innet_flags", "places"]
 GEO_METRICS = ["abroadNum", "telecomNum", "linkNum", "gatNum"]
 
 
@@ -43,6 +46,33 @@ class Lookups:
     online_user: DataFrame
     user_contact: DataFrame
 
+    @cached_property
+    def clients(self) -> RangeIndex:
+        return client_index(self.client)
+
+    @cached_property
+    def resources(self) -> RangeIndex:
+        return business_index(self.business)
+
+    @cached_property
+    def innet_flags(self) -> RangeIndex:
+        return innet_index(self.innet, self.business)
+
+    @cached_property
+    def places(self) -> RangeIndex:
+        return geo_index(self.geo, PLACE)
+
+    def persisted(self) -> Lookups:
+        """A copy whose range indexes are kept, for a job of many reports."""
+        copy = replace(self)
+        for name in RANGE_INDEXES:
+            copy.__dict__[name] = getattr(self, name).persisted()
+        return copy
+
+    def unpersist(self) -> None:
+        for name in RANGE_INDEXES:
+            getattr(self, name).unpersist()
+
 
 def _or(column: str | Column, default) -> Column:
     value = F.col(column) if isinstance(column, str) else column
@@ -59,25 +89,24 @@ def last_per_key(dim: DataFrame, key: str, values: list[str], order: str | None
     )
 
 
-def with_client(rows: DataFrame, rules: DataFrame, ip: str = "clientIp", **match) -> DataFrame:
-    """Client of the asking address: the first rule wins."""
-    payload = rules.withColumn("clientName", F.col("client_type_id"))
-    matched = match_ranges(
-        rows.withColumn("_ip", ip_to_long(F.col(ip))),
-        "_ip",
-        payload,
-        ["clientName"],
-        lo="min_long_ip",
-        hi="max_long_ip",
-        keep="first",
-        **match,
-    )
-    return matched.withColumn("clientName", _or("clientName", UNKNOWN_CLIENT)).drop("_ip")
+def _matched(rows: DataFrame, index: RangeIndex, ip: str) -> DataFrame:
+    return index.match(rows.withColumn("_ip", ip_to_long(F.col(ip))), "_ip").drop("_ip")
+
+
+def client_index(rules: DataFrame, **options) -> RangeIndex:
+    """Client rules: the first rule wins."""
+    named = rules.withColumn("clientName", F.col("client_type_id"))
+    return RangeIndex.build(named, ["clientName"], lo="min_long_ip", hi="max_long_ip", keep="first", **options)
 
 
-def with_business(rows: DataFrame, rules: DataFrame, ip: str = "aip", **match) -> DataFrame:
-    """Resource name, type and properties of the answer address: the last rule wins."""
-    payload = rules.select(
+def with_client(rows: DataFrame, clients: RangeIndex, ip: str = "clientIp") -> DataFrame:
+    """Client of the asking address."""
+    return _matched(rows, clients, ip).withColumn("clientName", _or("clientName", UNKNOWN_CLIENT))
+
+
+def business_index(rules: DataFrame, **options) -> RangeIndex:
+    """Business rules: the last rule wins."""
+    named = rules.select(
         "min_long_ip",
         "max_long_ip",
         "ord",
@@ -85,16 +114,12 @@ def with_business(rows: DataFrame, rules: DataFrame, ip: str = "aip", **match) -
         F.col("company_id").cast("string").alias("resourceType"),
         F.col("resource_id").cast("string").alias("resourceProps"),
     )
-    matched = match_ranges(
-        rows.withColumn("_ip", ip_to_long(F.col(ip))),
-        "_ip",
-        payload,
-        BUSINESS,
-        lo="min_long_ip",
-        hi="max_long_ip",
-        **match,
-    )
-    return matched.withColumns({c: _or(c, "") for c in BUSINESS}).drop("_ip")
+    return RangeIndex.build(named, BUSINESS, lo="min_long_ip", hi="max_long_ip", **options)
+
+
+def with_business(rows: DataFrame, resources: RangeIndex, ip: str = "aip") -> DataFrame:
+    """Resource name, type and properties of the answer address."""
+    return _matched(rows, resources, ip).withColumns({c: _or(c, "") for c in BUSINESS})
 
 
 def innet_ranges(innet: DataFrame, business: DataFrame) -> DataFrame:
@@ -105,44 +130,39 @@ def innet_ranges(innet: DataFrame, business: DataFrame) -> DataFrame:
     return innet.select(*bounds).unionByName(counted).withColumns({"ord": F.lit(0), "_innet": F.lit(True)})
 
 
-def with_innet(
-    rows: DataFrame, innet: DataFrame, business: DataFrame, ip: str = "aip", counted: str = "resolver", **match
-) -> DataFrame:
+def innet_index(innet: DataFrame, business: DataFrame, **options) -> RangeIndex:
+    return RangeIndex.build(innet_ranges(innet, business), ["_innet"], lo="min_long_ip", hi="max_long_ip", **options)
+
+
+def with_innet(rows: DataFrame, flags: RangeIndex, ip: str = "aip", counted: str = "resolver") -> DataFrame:
     """``inNet``: the counted lookups if the answer address is in-net, else 0."""
-    matched = match_ranges(
-        rows.withColumn("_ip", ip_to_long(F.col(ip))),
-        "_ip",
-        innet_ranges(innet, business),
-        ["_innet"],
-        lo="min_long_ip",
-        hi="max_long_ip",
-        **match,
-    )
     inside = F.coalesce(F.col("_innet"), F.lit(False))
-    return matched.withColumn("inNet", F.when(inside, F.col(counted)).otherwise(F.lit(0).cast("bigint"))).drop(
-        "_ip", "_innet"
-    )
+    counted_inside = F.when(inside, F.col(counted)).otherwise(F.lit(0).cast("bigint"))
+    return _matched(rows, flags, ip).withColumn("inNet", counted_inside).drop("_innet")
 
 
-def with_geo(rows: DataFrame, geo: DataFrame, fields: list[str], ip: str = "aip", prefix: str = "geo_", **match) -> DataFrame:
-    """Geography of an address; null fields where no range holds it. The ranges do not overlap."""
-    renamed = geo.select("lo", "hi", F.col("lo").alias("ord"), *[F.col(f).alias(prefix + f) for f in fields])
-    matched = match_ranges(
-        rows.withColumn("_ip", ip_to_long(F.col(ip))), "_ip", renamed, [prefix + f for f in fields], **match
-    )
-    return matched.drop("_ip")
+def geo_index(geo: DataFrame, fields: list[str], **options) -> RangeIndex:
+    """Geo ranges, which do not overlap."""
+    named = geo.select("lo", "hi", F.col("lo").alias("ord"), *[F.col(f).alias(f"geo_{f}") for f in fields])
+    return RangeIndex.build(named, [f"geo_{f}" for f in fields], **options)
+
+
+def with_geo(rows: DataFrame, places: RangeIndex, ip: str = "aip") -> DataFrame:
+    """Geography of an address in ``geo_`` columns; null where no range holds it."""
+    return _matched(rows, places, ip)
 
 
-def with_place(rows: DataFrame, geo: DataFrame, **match) -> DataFrame:
+def with_place(rows: DataFrame, places: RangeIndex) -> DataFrame:
     """Operator and province of the answer address, empty if unknown."""
-    return with_geo(rows, geo, ["operator", "province"], prefix="", **match).withColumns(
-        {"operator": _or("operator", ""), "province": _or("province", "")}
+    named = with_geo(rows, places).withColumns(
+        {"operator": _or("geo_operator", ""), "province": _or("geo_province", "")}
     )
+    return named.drop(*places.payload)
 
 
 def geo_metrics(rows: DataFrame, counted: str = "resolver") -> DataFrame:
     """Lookups answered abroad, by either operator and in the overseas regions, and the printed address."""
-    country, province, city, operator = (F.col(f"geo_{f}") for f in ("country", "province", "city", "operator"))
+    country, province, city, operator = (F.col(f"geo_{f}") for f in PLACE)
     overseas = province.contains(OVERSEAS_REGIONS[0])
     for region in OVERSEAS_REGIONS[1:]:
         overseas = overseas | province.contains(region)
@@ -159,11 +179,11 @@ def geo_metrics(rows: DataFrame, counted: str = "resolver") -> DataFrame:
             "gatNum": count_if(overseas),
             "aIpAddr": _or(F.concat(country, place, operator), ""),
         }
-    ).drop("geo_country", "geo_province", "geo_city", "geo_operator")
+    ).drop(*[f"geo_{f}" for f in PLACE])
 
 
-def with_geo_metrics(rows: DataFrame, geo: DataFrame, counted: str = "resolver", **match) -> DataFrame:
-    return geo_metrics(with_geo(rows, geo, ["country", "province", "city", "operator"], **match), counted)
+def with_geo_metrics(rows: DataFrame, places: RangeIndex, counted: str = "resolver") -> DataFrame:
+    return geo_metrics(with_geo(rows, places), counted)
 
 
 def with_site(rows: DataFrame, auth_domain: DataFrame, domain: str = "domain", order: str | None = None) -> DataFrame:
@@ -231,19 +251,17 @@ def app_ranges(rules: DataFrame) -> DataFrame:
     )
 
 
-def with_app(rows: DataFrame, ranges: DataFrame, ip: str = "destinationIp", **match) -> DataFrame:
-    """App behind a destination address: the last rule wins."""
-    matched = match_ranges(
-        rows.withColumn("_ip", ip_to_long(F.col(ip))),
-        "_ip",
-        ranges.withColumn("hi", F.col("end") - 1),
-        ["appName"],
-        **match,
-    )
-    return matched.withColumn("appName", _or("appName", OTHER_APP)).drop("_ip")
+def app_index(rules: DataFrame, **options) -> RangeIndex:
+    """App rules: the last rule wins."""
+    return RangeIndex.build(app_ranges(rules).withColumn("hi", F.col("end") - 1), ["appName"], **options)
+
+
+def with_app(rows: DataFrame, apps: RangeIndex, ip: str = "destinationIp") -> DataFrame:
+    """App behind a destination address."""
+    return _matched(rows, apps, ip).withColumn("appName", _or("appName", OTHER_APP))
 
 
 def enriched_log(clean: DataFrame, lookups: Lookups, *extra: str) -> DataFrame:
     """Clean rows with client, operator and province: the base of every five-minute report."""
-    placed = with_place(with_client(clean, lookups.client), lookups.geo)
+    placed = with_place(with_client(clean, lookups.clients), lookups.places)
     return placed.select(*CLEAN_COLUMNS, *extra)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .enrich import UNKNOWN, with_app, with_district, with_domain_tags
+from .ranges import RangeIndex
 from .topk import top_k
 
 # Bytes per counted unit, and the length of the lists.
@@ -28,8 +29,8 @@ def weighted_flow(flow: DataFrame) -> DataFrame:
     )
 
 
-def flow_base(flow: DataFrame, app_ranges: DataFrame) -> DataFrame:
-    return with_app(weighted_flow(flow), app_ranges)
+def flow_base(flow: DataFrame, apps: RangeIndex) -> DataFrame:
+    return with_app(weighted_flow(flow), apps)
 
 
 def user_total(rows: DataFrame) -> DataFrame:

@@ -12,7 +12,9 @@ Larger rule tables are looked up for the distinct addresses only, and the answer
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,24 +135,49 @@ def salted_left_join(facts: DataFrame, dim: DataFrame, key: str, salts: int = SA
     return facts.withColumn("_salt", spread).join(copies, [key, "_salt"], "left").drop("_salt")
 
 
-def match_ranges(
-    facts: DataFrame,
-    address: str,
-    rules: DataFrame,
-    payload: Sequence[str],
-    *,
-    lo: str = "lo",
-    hi: str = "hi",
-    order: str = "ord",
-    keep: str = "last",
-    broadcast_ranges: int = BROADCAST_RANGES,
-) -> DataFrame:
-    """Left join: add the ``payload`` columns of the winning rule, null where no range holds ``address``."""
-    if at_most(rules.select(lo, hi).distinct(), broadcast_ranges):
-        segments = range_segments(rules, payload, lo=lo, hi=hi, order=order, keep=keep)
-        inside = (_up(F.col(address), BUCKET_BITS) == F.col("bucket")) & F.col(address).between(
-            F.col("seg_lo"), F.col("seg_hi")
-        )
-        return facts.join(F.broadcast(segments), inside, "left").drop("bucket", "seg_lo", "seg_hi")
-    blocks = range_blocks(rules, payload, lo=lo, hi=hi, order=order, keep=keep)
-    return salted_left_join(facts, match_distinct(facts, address, blocks, payload, keep), address)
+@dataclass(frozen=True)
+class RangeIndex:
+    """A rule table prepared for lookups: disjoint segments if it is small enough to broadcast, else winning blocks.
+
+    Build it once and use it for every frame that needs the rules.
+    """
+
+    payload: tuple[str, ...]
+    keep: str
+    segments: DataFrame | None
+    blocks: DataFrame | None
+
+    @classmethod
+    def build(
+        cls,
+        rules: DataFrame,
+        payload: Sequence[str],
+        *,
+        lo: str = "lo",
+        hi: str = "hi",
+        order: str = "ord",
+        keep: str = "last",
+        broadcast_ranges: int = BROADCAST_RANGES,
+    ) -> RangeIndex:
+        names = {"lo": lo, "hi": hi, "order": order, "keep": keep}
+        if at_most(rules.select(lo, hi).distinct(), broadcast_ranges):
+            return cls(tuple(payload), keep, range_segments(rules, payload, **names), None)
+        return cls(tuple(payload), keep, None, range_blocks(rules, payload, **names))
+
+    def match(self, facts: DataFrame, address: str) -> DataFrame:
+        """Left join: add the payload of the winning rule, null where no range holds ``address``."""
+        if self.segments is not None:
+            inside = (_up(F.col(address), BUCKET_BITS) == F.col("bucket")) & F.col(address).between(
+                F.col("seg_lo"), F.col("seg_hi")
+            )
+            return facts.join(F.broadcast(self.segments), inside, "left").drop("bucket", "seg_lo", "seg_hi")
+        winners = match_distinct(facts, address, self.blocks, self.payload, self.keep)
+        return salted_left_join(facts, winners, address)
+
+    def persisted(self) -> RangeIndex:
+        """Keep the prepared table for a job that looks up many frames."""
+        kept = (self.segments if self.segments is not None else self.blocks).persist(StorageLevel.MEMORY_AND_DISK)
+        return replace(self, **{"segments" if self.segments is not None else "blocks": kept})
+
+    def unpersist(self) -> None:
+        (self.segments if self.segments is not None else self.blocks).unpersist()

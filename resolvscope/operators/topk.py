@@ -11,8 +11,9 @@ from ..functions import authority_domain
 from .counts import ALL_CLIENTS
 from .enrich import Lookups, with_contact, with_innet, with_online_user
 
-SALTS = 32
-LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+SALTS = 128
+# Longest list that Spark by default cuts before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+SHORT_LIST = 1000
 
 # Reference sizes.
 DOMAINS_PER_CODE = 5000
@@ -28,11 +29,12 @@ def top_k(
 ) -> DataFrame:
     """The first ``k`` rows of each group. ``order`` must be total.
 
-    Up to the optimizer's group-limit threshold Spark itself cuts every task to k rows per group before the shuffle.
-    Above it, the same is done in two steps over salted groups, so that no task ever sorts a whole hot group.
+    A short list needs no help: Spark cuts every task to k rows per group before the shuffle. A long one is found in two
+    steps, first within salted parts of the group, then among the at most ``salts * k`` rows left. No task ever sorts a
+    whole hot group.
     """
     name = rank or "_rank"
-    if k > int(rows.sparkSession.conf.get(LIMIT_SETTING, "1000")):
+    if k > SHORT_LIST:
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts))
         part = Window.partitionBy(*group, "_salt").orderBy(*order)
         salted = rows.withColumn("_salt", spread)
@@ -91,7 +93,7 @@ def top_user_rows(
         .where(F.col("number") > minimum)
     )
     kept = top_k(summed, ["accesstime"], by_number("clientIp", "domain", "aip"), k)
-    flagged = with_innet(kept, lookups.innet, lookups.business, counted="number")
+    flagged = with_innet(kept, lookups.innet_flags, counted="number")
     return with_contact(with_online_user(flagged, lookups.online_user, keep_all=True), lookups.user_contact)
 
 

@@ -12,7 +12,7 @@ from ..functions.times import FIVE_MINUTES
 from ..operators import counts, detail, topk
 from ..operators.clean import clean_log
 from ..operators.enrich import Lookups, enriched_log, with_client, with_place
-from ..sinks.tables import append_report, with_day, write_user_domains
+from ..sinks.tables import append_interval, write_user_domains
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ def interval_groups(log: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
 
 
 def enrich_groups(groups: DataFrame, lookups: Lookups) -> DataFrame:
-    return with_place(with_client(groups, lookups.client), lookups.geo)
+    return with_place(with_client(groups, lookups.clients), lookups.places)
 
 
 def count_tables(rows: DataFrame, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:
@@ -100,17 +100,22 @@ def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) ->
     The same call backfills any range: intervals are a grouping column, not a loop. The summed, enriched groups are kept
     for the reports, spilling to disk; a lost executor recomputes its part from the log.
     """
-    rows = enrich_groups(interval_groups(log, sizes), lookups).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = lookups.persisted()
+    rows = enrich_groups(interval_groups(log, sizes), kept).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tables = all_tables(rows, lookups, sizes)
-        for name, table in tables.items():
-            if name == "user_domain":
-                write_user_domains(table, f"{root}/{name}")
-            else:
-                append_report(with_day(table), f"{root}/{name}")
-        return list(tables)
+        return write_tables(all_tables(rows, kept, sizes), root)
     finally:
         rows.unpersist()
+        kept.unpersist()
+
+
+def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
+    for name, table in tables.items():
+        if name == "user_domain":
+            write_user_domains(table, f"{root}/{name}")
+        else:
+            append_interval(table, f"{root}/{name}")
+    return list(tables)
 
 
 def backfill(log: DataFrame, begin: int, end: int, lookups: Lookups, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:

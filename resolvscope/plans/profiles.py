@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import profile
 from ..operators.clean import keep_user_domains
-from ..operators.enrich import app_ranges
+from ..operators.enrich import app_index
 from ..sinks.tables import upsert, with_day
 
 
@@ -23,7 +23,7 @@ def build(
     minimum: int = 1,
 ) -> DataFrame:
     rows = keep_user_domains(user_domains, minimum)
-    flow = profile.flow_base(flows, app_ranges(app_rule))
+    flow = profile.flow_base(flows, app_index(app_rule))
     return profile.profile(rows, flow, tags, auth_domain, district, day, accesstime)
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import task_windows
 from ..operators.rollup import FAMILIES, roll_report
-from ..sinks.tables import append_report, with_day
+from ..sinks.tables import append_interval
 from ..sources.reports import read_report
 
 WINDOW_OF = {"hh": "hour", "6h": "six_hours", "dd": "day"}
@@ -29,15 +30,13 @@ def run(spark: SparkSession, task: str, sources: dict[str, str], targets: dict[s
         if task not in family.grains or types not in sources:
             continue
         rows = read_report(spark, sources[types], None if types == "trend" else types, begin, end)
-        append_report(with_day(roll_report(rows, types, task)), targets[types])
+        append_interval(roll_report(rows, types, task), targets[types])
         done.append(types)
     return done
 
 
 def last_window(spark: SparkSession, task: str, now: int) -> tuple[int, int]:
     """The ``[begin, end)`` a scheduled task covers at ``now``."""
-    from ..functions import task_windows
-
     upper, lower = task_windows(F.lit(now).cast("bigint"))[WINDOW_OF[task]]
     row = spark.range(1).select(lower.alias("lower"), upper.alias("upper")).first()
     return row["lower"], row["upper"]

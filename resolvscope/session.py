@@ -15,8 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Lets ``row_number() <= k`` cut each map task to k rows per group before the shuffle.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # Lets ``row_number() <= k`` cut each map task to k rows per group before the shuffle, for the lists used here.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
     # A replayed interval replaces its own partitions only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import day_text
@@ -22,14 +22,31 @@ def with_day(rows: DataFrame, time: str = "accesstime") -> DataFrame:
     return rows.withColumn("dt", day_text(F.col(time)).cast("int"))
 
 
+def with_interval(rows: DataFrame, time: str = "accesstime") -> DataFrame:
+    """Partition columns of a table that one interval after the other is written to."""
+    return with_day(rows, time).withColumn("interval", F.col(time))
+
+
+INTERVAL = ("dt", "interval")
+
+
+def _writer(rows: DataFrame, partitions: Sequence[str]) -> DataFrameWriter:
+    # Rebalanced by partition: no heap of small files, and a large partition is still written by several tasks.
+    balanced = rows.hint("rebalance", *partitions)
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return writer.partitionBy(*partitions)
+
+
 def append_report(rows: DataFrame, path: str, partitions: Sequence[str] = ("dt",)) -> None:
-    """Write report rows by partition. Dynamic overwrite replaces the partitions written, so a replay does not double."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    """Write report rows by partition. Dynamic overwrite replaces the partitions written, so a replay does not double.
+
+    Partitions must be whole: a table filled by intervals is partitioned by interval (:func:`append_interval`).
+    """
+    _writer(rows, partitions).parquet(path)
+
+
+def append_interval(rows: DataFrame, path: str) -> None:
+    append_report(with_interval(rows), path, INTERVAL)
 
 
 def merge_by_key(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -63,11 +80,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def _line() -> Column:
+    return F.concat_ws(FIELD, "userName", "domain", F.col("resolver").cast("string"))
+
+
 def user_domain_lines(rows: DataFrame) -> DataFrame:
-    return rows.select(F.concat_ws(FIELD, "userName", "domain", F.col("resolver").cast("string")).alias("value"))
+    return rows.select(_line().alias("value"))
 
 
 def write_user_domains(rows: DataFrame, path: str, files: int | None = None) -> None:
-    """``user, domain, n`` text. ``files`` merges the output; by default the partitions that arrive are written."""
-    lines = user_domain_lines(rows)
-    (lines.coalesce(files) if files else lines).write.mode("overwrite").text(path)
+    """``user, domain, n`` text by day and interval. ``files`` merges the output of small intervals."""
+    lines = with_interval(rows).select(*INTERVAL, _line().alias("value"))
+    if files:
+        lines.coalesce(files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *INTERVAL
+        ).text(path)
+    else:
+        _writer(lines, INTERVAL).text(path)

@@ -17,8 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import FIVE_MINUTES
 from ..operators.clean import clean_log
 from ..operators.enrich import Lookups
-from ..plans.five_minute import GROUPS, Sizes, all_tables, enrich_groups
-from ..sinks.tables import append_report, with_day
+from ..plans.five_minute import GROUPS, Sizes, all_tables, enrich_groups, write_tables
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -50,9 +49,8 @@ def report_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         groups = enrich_groups(batch, lookups).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for name, table in all_tables(groups, lookups, sizes).items():
-                if only is None or name in only:
-                    append_report(with_day(table).withColumn("interval", F.col("accesstime")), f"{root}/{name}", ("dt", "interval"))
+            tables = all_tables(groups, lookups, sizes)
+            write_tables({n: t for n, t in tables.items() if only is None or n in only}, root)
         finally:
             groups.unpersist()
 
