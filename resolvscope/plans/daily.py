@@ -34,3 +34,8 @@ def run(spark: SparkSession, detail: DataFrame, root: str, state: str) -> None:
         added.write.mode("append").parquet(state)
     finally:
         day.unpersist()
+
+
+def run_users(spark: SparkSession, user_rows: DataFrame, target: str) -> None:
+    """Upsert the user totals of the days in ``user_rows``. They are summed from the interval rows, so a rerun adds nothing."""
+    upsert(spark, with_day(daily.user_day(user_rows)), target, "key")
