@@ -31,7 +31,7 @@ from ..functions import (
 from ..functions.ip import cidr_table, explode_cidr
 from ..functions.times import DAY, HOUR
 from ..operators import clean, counts, daily, detail, enrich, nat, profile, rollup, topk
-from ..plans import five_minute, rollups
+from ..plans import five_minute, profiles, rollups
 from ..session import work_path
 from ..sinks import tables
 from ..sources import logs, lookups as src, reports
@@ -508,15 +508,16 @@ def _(spark, folder):
 
 @query("join_profile_full_outer")
 def _(spark, folder):
-    rows = clean.keep_user_domains(user_domain(spark, folder), 0)
-    whole = profile.profile(
-        rows,
-        flow_base(spark, folder),
+    whole = profiles.build(
+        user_domain(spark, folder),
+        fx.flowmsg(spark, folder),
+        fx.app_rule(spark, folder),
         fx.domain_tags(spark, folder),
         fx.auth_domain(spark, folder),
         fx.district(spark, folder),
         "20240131",
         1706659200000,
+        minimum=0,
     )
     return whole.withColumns({c: F.to_json(c) for c in ("domains", "tags", "apps", "byte", "rids")})
 

@@ -125,8 +125,7 @@ def with_business(rows: DataFrame, resources: RangeIndex, ip: str = "aip") -> Da
 def innet_ranges(innet: DataFrame, business: DataFrame) -> DataFrame:
     """Ranges that count as in-net: those of both tables, but none if the in-net table is empty."""
     bounds = ["min_long_ip", "max_long_ip"]
-    some = innet.select(F.lit(1).alias("_any")).limit(1)
-    counted = business.select(*bounds, F.lit(1).alias("_any")).join(some, "_any", "left_semi").select(*bounds)
+    counted = business.select(*bounds).where(innet.exists())
     return innet.select(*bounds).unionByName(counted).withColumns({"ord": F.lit(0), "_innet": F.lit(True)})
 
 

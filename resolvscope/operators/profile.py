@@ -33,6 +33,16 @@ def flow_base(flow: DataFrame, apps: RangeIndex) -> DataFrame:
     return with_app(weighted_flow(flow), apps)
 
 
+def user_domain_sums(rows: DataFrame) -> DataFrame:
+    """Lookups per user and domain: all that the profile needs of the user-domain rows."""
+    return rows.groupBy("userName", "domain").agg(F.sum("resolver").alias("resolver"))
+
+
+def flow_sums(flow: DataFrame) -> DataFrame:
+    """Bytes per client, hour, source and app: all that the profile needs of the flow rows."""
+    return flow.groupBy("clientName", "hour", "sourceIp", "appName").agg(F.sum("bytes").alias("bytes"))
+
+
 def user_total(rows: DataFrame) -> DataFrame:
     return rows.groupBy("userName").agg(F.sum("resolver").alias("resolver"))
 
@@ -82,8 +92,7 @@ def _ordered_list(rows: DataFrame, user: str, fields: list[str], name: str) -> D
 
 def top_domains(rows: DataFrame, tags: DataFrame, auth_domain: DataFrame, k: int = TOP_DOMAINS) -> DataFrame:
     """Per user the busiest domains in order, with their known labels."""
-    summed = rows.groupBy("userName", "domain").agg(F.sum("resolver").alias("resolver"))
-    kept = top_k(summed, ["userName"], [F.desc("resolver"), F.asc("domain")], k, rank="_rank")
+    kept = top_k(user_domain_sums(rows), ["userName"], [F.desc("resolver"), F.asc("domain")], k, rank="_rank")
     known = F.array_remove(F.array_distinct(F.array(*TAGS)), UNKNOWN)
     labelled = with_domain_tags(kept, tags, auth_domain).withColumn("tags", known)
     return _ordered_list(labelled, "userName", ["domain", "resolver", "tags"], "domains")
@@ -106,7 +115,7 @@ def combine(parts: list[DataFrame]) -> DataFrame:
 
 
 def profile(
-    rows: DataFrame,
+    sums: DataFrame,
     flow: DataFrame,
     tags: DataFrame,
     auth_domain: DataFrame,
@@ -114,15 +123,15 @@ def profile(
     day: str,
     accesstime: int,
 ) -> DataFrame:
-    """The profile document per user. ``rows`` are filtered user-domain rows, ``flow`` the flow base."""
+    """The profile document per user, from :func:`user_domain_sums` and :func:`flow_sums`."""
 
     def of_user(part: DataFrame) -> DataFrame:
         return part.withColumnRenamed("clientName", "userName")
 
     parts = [
-        top_domains(rows, tags, auth_domain),
-        user_total(rows),
-        user_tags(distinct_user_domain(rows), tags, auth_domain),
+        top_domains(sums, tags, auth_domain),
+        user_total(sums),
+        user_tags(sums.select("userName", "domain"), tags, auth_domain),
         of_user(user_bytes(flow)),
         of_user(top_apps(flow)),
         of_user(day_curve(flow)),

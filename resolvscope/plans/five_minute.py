@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -15,6 +17,9 @@ from ..operators.enrich import Lookups, enriched_log, with_client, with_place
 from ..sinks.tables import append_interval, write_user_domains
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Sizes:
     """Thresholds and list lengths of the job."""
@@ -49,64 +54,92 @@ def enrich_groups(groups: DataFrame, lookups: Lookups) -> DataFrame:
     return with_place(with_client(groups, lookups.clients), lookups.places)
 
 
-def count_tables(rows: DataFrame, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:
+def count_tables(rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes(), keep: Keep = lambda df: df) -> dict[str, DataFrame]:
     return {
         "qps": counts.qps(rows, sizes.seconds),
         **{types: counts.count_report(rows, types) for types in counts.COUNT_REPORTS},
     }
 
 
-def code_tables(rows: DataFrame, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:
+def code_tables(rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes(), keep: Keep = lambda df: df) -> dict[str, DataFrame]:
     tables = {}
     for suffix, per_client in (("", False), ("_client", True)):
-        domains = topk.top_domains(rows, sizes.domains_per_code, per_client)
+        domains = keep(topk.top_domains(rows, sizes.domains_per_code, per_client))
         tables[f"responseCodeDomain{suffix}"] = domains
         tables[f"responseCodeAuthorityDomain{suffix}"] = topk.top_authorities(domains, sizes.domains_per_code, per_client)
         tables[f"responseCodeClientIP{suffix}"] = topk.top_addresses(rows, sizes.addresses_per_code, per_client)
     return tables
 
 
-def detail_tables(rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:
+def detail_tables(rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes(), keep: Keep = lambda df: df) -> dict[str, DataFrame]:
     top = detail.top_detail(rows, lookups, sizes.detail_rows, sizes.detail_minimum)
-    enriched = detail.enrich_detail(top, lookups)
+    enriched = keep(detail.enrich_detail(top, lookups))
     return {
-        "business": counts.business(top),
         "detail": enriched,
+        "business": counts.business(enriched),
         "trend": detail.trend(enriched, sizes.trend_minimum),
     }
 
 
-def user_tables(rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:
-    busiest = topk.top_user_rows(rows, lookups, sizes.user_rows, sizes.user_minimum)
+def user_tables(rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes(), keep: Keep = lambda df: df) -> dict[str, DataFrame]:
+    busiest = keep(topk.top_user_rows(rows, lookups, sizes.user_rows, sizes.user_minimum))
     return {
-        "user": topk.top_user_errors(busiest, sizes.user_errors),
         "user_rows": busiest,
+        "user": topk.top_user_errors(busiest, sizes.user_errors),
         "user_domain": counts.user_domains(rows, lookups.online_user),
     }
 
 
-def all_tables(rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:
-    return {
-        **count_tables(rows, sizes),
-        **code_tables(rows, sizes),
-        **detail_tables(rows, lookups, sizes),
-        **user_tables(rows, lookups, sizes),
-    }
+FAMILIES = {
+    count_tables: {"qps", *counts.COUNT_REPORTS},
+    code_tables: {f"responseCode{item}{suffix}" for item in ("Domain", "AuthorityDomain", "ClientIP") for suffix in ("", "_client")},
+    detail_tables: {"detail", "business", "trend"},
+    user_tables: {"user_rows", "user", "user_domain"},
+}
+
+
+def all_tables(
+    rows: DataFrame, lookups: Lookups, sizes: Sizes = Sizes(), keep: Keep = lambda df: df, only: Collection[str] | None = None
+) -> dict[str, DataFrame]:
+    """Every report table, or those named in ``only``.
+
+    ``keep`` receives the frames that several tables are made from, so that a job can persist them.
+    """
+    tables = {}
+    for build, names in FAMILIES.items():
+        if only is None or names & set(only):
+            tables |= build(rows, lookups, sizes, keep)
+    return {name: table for name, table in tables.items() if only is None or name in only}
+
+
+@contextmanager
+def persisting() -> Iterator[Keep]:
+    """Persist frames for the duration of a job. They spill to disk, and a lost executor recomputes its part."""
+    kept: list[DataFrame] = []
+
+    def keep(frame: DataFrame) -> DataFrame:
+        kept.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
+        return kept[-1]
+
+    try:
+        yield keep
+    finally:
+        for frame in kept:
+            frame.unpersist()
 
 
 def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) -> list[str]:
     """Write every report table of the intervals in ``log`` under ``root``; returns their names.
 
-    The same call backfills any range: intervals are a grouping column, not a loop. The summed, enriched groups are kept
-    for the reports, spilling to disk; a lost executor recomputes its part from the log.
+    The same call backfills any range: intervals are a grouping column, not a loop.
     """
-    kept = lookups.persisted()
-    rows = enrich_groups(interval_groups(log, sizes), kept).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = lookups.persisted()
     try:
-        return write_tables(all_tables(rows, kept, sizes), root)
+        with persisting() as keep:
+            groups = keep(enrich_groups(interval_groups(log, sizes), ready))
+            return write_tables(all_tables(groups, ready, sizes, keep), root)
     finally:
-        rows.unpersist()
-        kept.unpersist()
+        ready.unpersist()
 
 
 def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import profile
 from ..operators.clean import keep_user_domains
 from ..operators.enrich import app_index
 from ..sinks.tables import upsert, with_day
+from .five_minute import Keep, persisting
 
 
 def build(
@@ -21,18 +21,18 @@ def build(
     day: str,
     accesstime: int,
     minimum: int = 1,
+    keep: Keep = lambda df: df,
 ) -> DataFrame:
-    rows = keep_user_domains(user_domains, minimum)
-    flow = profile.flow_base(flows, app_index(app_rule))
-    return profile.profile(rows, flow, tags, auth_domain, district, day, accesstime)
+    """Profiles of one day. The inputs are summed once each; ``keep`` lets a job persist the sums."""
+    sums = keep(profile.user_domain_sums(keep_user_domains(user_domains, minimum)))
+    flow = keep(profile.flow_sums(profile.flow_base(flows, app_index(app_rule))))
+    return profile.profile(sums, flow, tags, auth_domain, district, day, accesstime)
 
 
-def run(spark: SparkSession, target: str, user_domains: DataFrame, flows: DataFrame, *lookups: DataFrame, day: str, accesstime: int) -> None:
+def run(
+    spark: SparkSession, target: str, user_domains: DataFrame, flows: DataFrame, *lookups: DataFrame, day: str, accesstime: int
+) -> None:
     """Build the profiles of a day and upsert them. Errors are not caught: a failed day must be seen."""
-    rows = user_domains.persist(StorageLevel.MEMORY_AND_DISK)
-    flow = flows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        upsert(spark, with_day(build(rows, flow, *lookups, day=day, accesstime=accesstime)), target, "id")
-    finally:
-        rows.unpersist()
-        flow.unpersist()
+    with persisting() as keep:
+        people = build(user_domains, flows, *lookups, day=day, accesstime=accesstime, keep=keep)
+        upsert(spark, with_day(people), target, "id")

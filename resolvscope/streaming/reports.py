@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import FIVE_MINUTES
 from ..operators.clean import clean_log
 from ..operators.enrich import Lookups
-from ..plans.five_minute import GROUPS, Sizes, all_tables, enrich_groups, write_tables
+from ..plans.five_minute import GROUPS, Sizes, all_tables, enrich_groups, persisting, write_tables
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -47,12 +46,11 @@ def report_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        groups = enrich_groups(batch, lookups).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            tables = all_tables(groups, lookups, sizes)
-            write_tables({n: t for n, t in tables.items() if only is None or n in only}, root)
-        finally:
-            groups.unpersist()
+        with persisting() as keep:
+            groups = keep(enrich_groups(batch, lookups))
+            # Most batches close no interval.
+            if not groups.isEmpty():
+                write_tables(all_tables(groups, lookups, sizes, keep, only), root)
 
     return write
 
