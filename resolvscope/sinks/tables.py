@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,11 +69,15 @@ def upsert(spark: SparkSession, rows: DataFrame, path: str, key: str, partitions
     if not _exists(spark, path):
         append_report(rows, path, partitions)
         return
-    touched = rows.select(*partitions).distinct()
-    existing = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
-    side = work_path(spark, "upsert")
-    merge_by_key(existing.select(*rows.columns), rows, key).write.partitionBy(*partitions).parquet(side)
-    append_report(spark.read.parquet(side).select(*rows.columns), path, partitions)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = rows.select(*partitions).distinct()
+        existing = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
+        side = work_path(spark, "upsert")
+        merge_by_key(existing.select(*rows.columns), rows, key).write.partitionBy(*partitions).parquet(side)
+        append_report(spark.read.parquet(side).select(*rows.columns), path, partitions)
+    finally:
+        rows.unpersist()
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

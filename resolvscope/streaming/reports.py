@@ -66,6 +66,7 @@ def start(
     only: list[str] | None = None,
 ) -> StreamingQuery:
     """Start the interval job. ``trigger`` defaults to one batch per interval."""
+    use_disk_state(log.sparkSession)
     closed = closed_intervals(log, sizes.seconds, delay)
     return (
         closed.writeStream.outputMode("append")

@@ -10,7 +10,7 @@ from resolvscope import fixtures as fx
 from resolvscope.catalog.queries import SIZES, lookups
 from resolvscope.operators.enrich import app_index
 from resolvscope.plans import daily, five_minute, profiles, rollups
-from resolvscope.sources.logs import read_user_domains
+from resolvscope.sources.logs import read_user_domains, stream_dns_json
 from resolvscope.streaming import reports as stream
 
 DAY = 86400
@@ -42,6 +42,10 @@ def test_summed_groups_give_the_reports_of_the_rows(spark, folder, log, written)
             assert rows_of(spark.read.parquet(f"{root}/{name}"), *table.columns) == rows_of(table), name
 
 
+def as_lines(log):
+    return log.select(F.to_json(F.struct("*")).alias("value")).coalesce(1)
+
+
 def test_stream_equals_batch_for_closed_intervals(spark, folder, log, written, tmp_path):
     """Files arrive in time order, one per batch; a late copy of the first file changes nothing."""
     root, _ = written
@@ -50,15 +54,15 @@ def test_stream_equals_batch_for_closed_intervals(spark, folder, log, written, t
     bounds = [0, 1704500000, 1705500000, 2**40]
     for low, high in zip(bounds, bounds[1:]):
         at = F.col("Timestamp") / 1000
-        log.where((at >= low) & (at < high)).coalesce(1).write.mode("append").parquet(source)
+        as_lines(log.where((at >= low) & (at < high))).write.mode("append").text(source)
         stream.start(
-            spark.readStream.schema(log.schema).parquet(source),
+            stream_dns_json(spark, source),
             lookups(spark, folder), target, checkpoint, SIZES, trigger={"availableNow": True}, only=only,
         ).awaitTermination()
     late = log.where(F.col("Timestamp") < 1704500000000)
-    late.coalesce(1).write.mode("append").parquet(source)
+    as_lines(late).write.mode("append").text(source)
     stream.start(
-        spark.readStream.schema(log.schema).parquet(source),
+        stream_dns_json(spark, source),
         lookups(spark, folder), target, checkpoint, SIZES, trigger={"availableNow": True}, only=only,
     ).awaitTermination()
     newest = log.agg(F.max("Timestamp")).first()[0] // 1000
