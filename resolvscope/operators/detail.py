@@ -19,7 +19,7 @@ from .enrich import (
 )
 from .topk import top_k
 
-# Reference sizes.
+# Default sizes.
 DETAIL_ROWS = 70_000
 DETAIL_MINIMUM = 10
 WHITELIST_BONUS = 10

@@ -15,7 +15,7 @@ SALTS = 128
 # Longest list that Spark by default cuts before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
 SHORT_LIST = 1000
 
-# Reference sizes.
+# Default sizes.
 DOMAINS_PER_CODE = 5000
 ADDRESSES_PER_CODE = 500
 USER_ROWS = 20_000

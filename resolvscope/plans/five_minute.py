@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -142,13 +143,18 @@ def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) ->
         ready.unpersist()
 
 
-def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
-    for name, table in tables.items():
+def write_tables(tables: dict[str, DataFrame], root: str, at_once: int = 4) -> list[str]:
+    """Write tables, a few at a time: each is small, so one alone leaves executors idle."""
+
+    def write(name: str) -> str:
         if name == "user_domain":
-            write_user_domains(table, f"{root}/{name}")
+            write_user_domains(tables[name], f"{root}/{name}")
         else:
-            append_interval(table, f"{root}/{name}")
-    return list(tables)
+            append_interval(tables[name], f"{root}/{name}")
+        return name
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(write, tables))
 
 
 def backfill(log: DataFrame, begin: int, end: int, lookups: Lookups, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:
