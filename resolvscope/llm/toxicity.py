@@ -50,8 +50,12 @@ def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
 
 
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
+    # Tables large enough that no position of the dictionary is overwritten, and a parse that looks ahead.
     settings = zstd.ZstdCompressionParameters.from_level(
-        LEVEL, min_match=4, format=zstd.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0
+        LEVEL, min_match=4, window_log=17, hash_log=17, chain_log=17, search_log=4, strategy=zstd.STRATEGY_LAZY2, format=zstd.FORMAT_ZSTD1_MAGICLESS,
+        write_content_size=0,
+        write_checksum=0,
+        write_dict_id=0,
     )
     made = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
     made.precompute_compress(compression_params=settings)
