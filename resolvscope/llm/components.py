@@ -18,11 +18,10 @@ def _kept(frame: DataFrame, name: str) -> DataFrame:
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join on a key whose rows on the left may be many.
 
-    The right side holds each key once, from an aggregate. Dealing it by another column first makes the join shuffle both
-    sides itself, and only then can adaptive execution split a key with many rows.
+    The right side holds each key once, from an aggregate. Dealing it by a hash of the key first makes the join shuffle
+    both sides itself, and only then can adaptive execution split a key with many rows.
     """
-    other = [c for c in right.columns if c != key][0]
-    return left.join(right.repartition(F.col(other)), key, how)
+    return left.join(right.repartition(F.xxhash64(key)), key, how)
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
