@@ -160,7 +160,8 @@ def mix(documents: DataFrame, kept: list[str], block: int = BLOCK, shards: int =
     words = F.least((F.col("block") + 1) * block, F.col("start") + F.col("size")) - low
     piece = F.struct((low - F.col("start")).alias("first"), words.alias("words"), "times")
     taken = (
-        pieces.join(times, ["rank", "block"], "left")
+        # The draw's size is that of the corpus, but it is made from a few rows, from which Spark would guess it small.
+        pieces.join(times.hint("merge"), ["rank", "block"], "left")
         .groupBy("row_id")
         .agg(
             F.first("size").alias("size"),
