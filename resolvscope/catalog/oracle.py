@@ -389,12 +389,13 @@ for _name in ("day", "part", "roll"):
     cte(
         f"detail_{_name}",
         f"""
-        SELECT clientName, {authority("t.domain")} AS authorityDomain, dnsIp, t.aip AS aip,
+        SELECT clientName, authorityDomain, dnsIp, t.aip AS aip,
           CASE WHEN contains(domain, 'https://') THEN replace(domain, 'https://', '') ELSE replace(domain, 'http://', '') END AS domain,
           resolver, CASE WHEN inside THEN resolver ELSE 0 END::BIGINT AS inNet, error, accesstime, {SITE_SQL},
           resourceName, resourceType, resourceProps, {geo_sql("resolver")}
-        FROM top_{_name} t JOIN ip_innet_v i ON i.aip = t.aip JOIN ip_geo_v g ON g.aip = t.aip
-          LEFT JOIN site_v s ON s.authDomain = {authority("t.domain")}
+        FROM (SELECT *, {authority("domain")} AS authorityDomain FROM top_{_name}) t
+          JOIN ip_innet_v i ON i.aip = t.aip JOIN ip_geo_v g ON g.aip = t.aip
+          LEFT JOIN site_v s ON s.authDomain = t.authorityDomain
         """,
     )
     cte(

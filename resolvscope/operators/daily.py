@@ -126,10 +126,16 @@ def innet_domains(day: DataFrame) -> DataFrame:
 
 
 def user_day(user_rows: DataFrame) -> DataFrame:
-    """Day totals per client, user, domain and asking address, summed from the day's interval rows."""
-    daily = user_rows.withColumn("accesstime", bucket_day(F.col("accesstime")))
+    """Day totals per client, user, domain and asking address, summed from the day's interval rows.
+
+    A contact that changes during the day does not split a total: phone and address are those of the latest interval.
+    """
+    daily = user_rows.withColumn("_at", F.col("accesstime")).withColumn("accesstime", bucket_day(F.col("accesstime")))
     keys = ["clientName", "userName", "domain", "clientIp"]
-    summed = daily.groupBy("accesstime", *keys, "phone", "address").agg(
-        *[F.sum(c).alias(c) for c in ("number", "error", "inNet")]
+    contact = F.struct("phone", "address")
+    summed = (
+        daily.groupBy("accesstime", *keys)
+        .agg(F.max_by(contact, F.struct("_at", contact)).alias("_contact"), *[F.sum(c).alias(c) for c in ("number", "error", "inNet")])
+        .select("accesstime", *keys, "_contact.phone", "_contact.address", "number", "error", "inNet")
     )
     return summed.withColumns({"types": F.lit("user"), "key": dated_key(F.col("accesstime"), *keys)})

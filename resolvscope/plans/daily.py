@@ -7,21 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import daily
-from ..sinks.tables import insert_if_absent, upsert, with_day
+from ..sinks.tables import upsert, with_day
 from ..sources.logs import read_if_exists
 
 INNET = "domain string, aip string, accesstime bigint, counts int"
 
 
-def tables(detail: DataFrame) -> dict[str, DataFrame]:
-    day = daily.day_totals(detail)
-    return {
-        "detail_day": day,
-        "domain_day": daily.nested_domains(day).unionByName(daily.nested_domains(day, per_client=True)),
-        "innet_domain": daily.innet_domains(day),
-    }
-
-
 def run(spark: SparkSession, detail: DataFrame, root: str, state: str) -> None:
     """Upsert the day totals and domain summaries, and add new in-net domains to ``state``."""
     day = daily.day_totals(detail).withColumn("updateTime", F.unix_timestamp()).persist(StorageLevel.MEMORY_AND_DISK)
@@ -30,7 +21,7 @@ def run(spark: SparkSession, detail: DataFrame, root: str, state: str) -> None:
         domains = daily.nested_domains(day).unionByName(daily.nested_domains(day, per_client=True))
         upsert(spark, with_day(domains.withColumn("updateTime", F.unix_timestamp())), f"{root}/domain_day", "key")
         known = read_if_exists(spark, state, INNET)
-        added = insert_if_absent(known, daily.innet_domains(day), "domain").join(known.select("domain"), "domain", "left_anti")
+        added = daily.innet_domains(day).join(known.select("domain"), "domain", "left_anti")
         added.write.mode("append").parquet(state)
     finally:
         day.unpersist()

@@ -137,7 +137,8 @@ def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) ->
     ready = lookups.persisted()
     try:
         with persisting() as keep:
-            groups = keep(enrich_groups(interval_groups(log, sizes), ready))
+            # Kept before the lookups as well: one that is too large to broadcast reads its rows twice.
+            groups = keep(enrich_groups(keep(interval_groups(log, sizes)), ready))
             return write_tables(all_tables(groups, ready, sizes, keep), root)
     finally:
         ready.unpersist()

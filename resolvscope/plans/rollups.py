@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +22,19 @@ def chain(rows: DataFrame, types: str, grain: str) -> DataFrame:
     return roll_report(rows, types, grain)
 
 
-def run(spark: SparkSession, task: str, sources: dict[str, str], targets: dict[str, str], begin: int, end: int) -> list[str]:
+def run(spark: SparkSession, task: str, sources: dict[str, str | list[str]], targets: dict[str, str], begin: int, end: int) -> list[str]:
     """Roll every family that has the grain, for ``begin <= accesstime < end``.
 
-    ``sources`` and ``targets`` name the table of each report type; for ``6h`` the sources are the hourly tables.
+    ``sources`` and ``targets`` name the table of each report type; for ``6h`` the sources are the hourly tables. A type
+    may have several sources, such as the code tables over all clients and per client; their rows are rolled together.
     """
     done = []
     for types, family in FAMILIES.items():
         if task not in family.grains or types not in sources:
             continue
-        rows = read_report(spark, sources[types], None if types == "trend" else types, begin, end)
+        paths = [sources[types]] if isinstance(sources[types], str) else sources[types]
+        parts = [read_report(spark, path, None if types == "trend" else types, begin, end) for path in paths]
+        rows = reduce(DataFrame.unionByName, parts)
         append_interval(roll_report(rows, types, task), targets[types])
         done.append(types)
     return done

@@ -64,18 +64,23 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame
 def upsert(spark: SparkSession, rows: DataFrame, path: str, key: str, partitions: Sequence[str] = ("dt",)) -> None:
     """Merge rows into a partitioned table by key, rewriting only the partitions that receive rows.
 
-    The merged partitions go to a side table first, because a table cannot be overwritten while it is read.
+    The merged partitions go to a side table first, because a table cannot be overwritten while it is read; it is removed
+    after success. Rows must hold each key once; a key that comes twice raises and nothing is written.
     """
-    if not _exists(spark, path):
-        append_report(rows, path, partitions)
-        return
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        twice = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key).head()
+        if twice is not None:
+            raise ValueError(f"upsert: several rows have the key {twice[0]!r}")
+        if not _exists(spark, path):
+            append_report(rows, path, partitions)
+            return
         touched = rows.select(*partitions).distinct()
         existing = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
         side = work_path(spark, "upsert")
         merge_by_key(existing.select(*rows.columns), rows, key).write.partitionBy(*partitions).parquet(side)
         append_report(spark.read.parquet(side).select(*rows.columns), path, partitions)
+        _remove(spark, side)
     finally:
         rows.unpersist()
 
@@ -85,6 +90,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def _line() -> Column:
     return F.concat_ws(FIELD, "userName", "domain", F.col("resolver").cast("string"))
 
@@ -97,7 +107,8 @@ def write_user_domains(rows: DataFrame, path: str, files: int | None = None) ->
     """``user, domain, n`` text by day and interval. ``files`` merges the output of small intervals."""
     lines = with_interval(rows).select(*INTERVAL, _line().alias("value"))
     if files:
-        lines.coalesce(files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        # A shuffle, so that what is upstream keeps its own number of tasks.
+        lines.repartition(files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             *INTERVAL
         ).text(path)
     else:

@@ -37,27 +37,35 @@ def closed_intervals(log: DataFrame, seconds: int = FIVE_MINUTES, delay: str = "
 
 
 def report_writer(
-    root: str, lookups: Lookups, sizes: Sizes = Sizes(), only: list[str] | None = None
+    root: str, lookups: Lookups | Callable[[], Lookups], sizes: Sizes = Sizes(), only: list[str] | None = None
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that writes the report tables of the closed intervals in a batch.
 
     Tables are partitioned by interval and overwritten by partition, so a batch that is replayed after a failure leaves
-    the same rows.
+    the same rows. ``lookups`` may be a function; it is called for each batch that closes an interval, so rule tables that
+    were replaced meanwhile are read anew.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with persisting() as keep:
-            groups = keep(enrich_groups(batch, lookups))
-            # Most batches close no interval.
-            if not groups.isEmpty():
-                write_tables(all_tables(groups, lookups, sizes, keep, only), root)
+            closed = keep(batch)
+            # Counting materialises the stateful batch once, before several tables are written from it. Most batches close
+            # no interval.
+            if closed.count() == 0:
+                return
+            ready = (lookups() if callable(lookups) else lookups).persisted()
+            try:
+                groups = keep(enrich_groups(closed, ready))
+                write_tables(all_tables(groups, ready, sizes, keep, only), root)
+            finally:
+                ready.unpersist()
 
     return write
 
 
 def start(
     log: DataFrame,
-    lookups: Lookups,
+    lookups: Lookups | Callable[[], Lookups],
     root: str,
     checkpoint: str,
     sizes: Sizes = Sizes(),

@@ -123,3 +123,24 @@ def test_rules_from_a_file(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([(1, 2, 3, 4, 5)], "min_long_ip bigint, max_long_ip bigint, s_id int, company_id int, resource_id int").write.parquet(path)
     assert rows_of(lookups.business_rules(lookups.read_rules(spark, path))) == [(1, 2, "3", "4", "5")]
+
+
+def test_upsert_refuses_a_key_that_comes_twice(spark, tmp_path):
+    rows = spark.createDataFrame([("k", 1, 20240101), ("k", 2, 20240101)], "key string, n int, dt int")
+    target = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="'k'"):
+        tables.upsert(spark, rows, target, "key")
+    tables.upsert(spark, rows.where("n = 1"), target, "key")
+    with pytest.raises(ValueError, match="'k'"):
+        tables.upsert(spark, rows, target, "key")
+    tables.upsert(spark, rows.where("n = 2"), target, "key")
+    assert [(r.key, r.n) for r in spark.read.parquet(target).collect()] == [("k", 2)]
+
+
+def test_user_day_keeps_one_row_when_a_contact_changes(spark):
+    from resolvscope.operators.daily import user_day
+
+    schema = "accesstime long, clientName string, userName string, domain string, clientIp string, phone string, address string, number long, error long, inNet long"
+    rows = [(1700000100, "c", "u", "d", "ip", "111", "a", 2, 1, 0), (1700000400, "c", "u", "d", "ip", "222", "b", 3, 0, 1)]
+    got = user_day(spark.createDataFrame(rows, schema)).collect()
+    assert [(r.phone, r.address, r.number, r.error, r.inNet) for r in got] == [("222", "b", 5, 1, 1)]
