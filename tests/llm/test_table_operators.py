@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from corpus_tables import documents_of, messy  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline

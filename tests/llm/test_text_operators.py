@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from corpus_tables import documents_of, messy  # noqa: F401
 
 from resolvscope.llm import decontaminate, license_scan, secret_scan, simhash, toxicity
 from resolvscope.llm.text import WORD, lower_ascii
