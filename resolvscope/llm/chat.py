@@ -17,7 +17,7 @@ from tokenizers import AddedToken, Tokenizer, processors
 START, HEAD, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 CONTROLS = [START, HEAD, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|endoftext|>"]
 # Put after the first character of a control string; reading it back takes one away.
-JOINER = "⁠"
+JOINER = "\u2060"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 # Characters after which a conversation is encoded up to the last whole turn; only very long ones reach it.
 LONG = 1 << 20

@@ -12,8 +12,7 @@ WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # ASCII white space.
 SPACE_BREAK = r"[\x20\x09-\x0D]+"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LETTERS = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_KELVIN = "K"
+_KELVIN = "\u212a"
 
 
 def safe_lower(text: Column) -> Column:
