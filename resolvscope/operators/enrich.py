@@ -1,12 +1,13 @@
 """Lookups that add columns to report rows.
 
 Equality lookups carry no broadcast hint: Spark broadcasts a side below ``spark.sql.autoBroadcastJoinThreshold`` and
-otherwise sort-merges, where adaptive execution splits hot keys. Range lookups check the size of their rules themselves.
+otherwise sort-merges, where adaptive execution splits hot keys. It can do so only if the join shuffles both sides itself,
+so the deduplicated side is dealt by another hash first (:func:`_dealt`).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,6 @@ BUSINESS = ["resourceName", "resourceType", "resourceProps"]
 SITE = ["websiteName", "creditCode", "companyType", "companyName", "companyAddr", "onRecord", "websiteType", "soft"]
 SITE_UNKNOWN = {"companyType", "websiteType"}
 PLACE = ["country", "province", "city", "operator"]
-RANGE_INDEXES = ["clients", "resources", "innet_flags", "places"]
 GEO_METRICS = ["abroadNum", "telecomNum", "linkNum", "gatNum"]
 
 
@@ -62,41 +62,32 @@ class Lookups:
     def places(self) -> RangeIndex:
         return geo_index(self.geo, PLACE)
 
-    def persisted(self) -> Lookups:
-        """A copy whose range indexes are kept, for a job of many reports."""
-        copy = replace(self)
-        for name in RANGE_INDEXES:
-            copy.__dict__[name] = getattr(self, name).persisted()
-        return copy
-
-    def unpersist(self) -> None:
-        for name in RANGE_INDEXES:
-            getattr(self, name).unpersist()
-
 
 def _or(column: str | Column, default) -> Column:
     value = F.col(column) if isinstance(column, str) else column
     return F.coalesce(value, F.lit(default))
 
 
+def _dealt(dim: DataFrame, key: str) -> DataFrame:
+    """A lookup side whose partitioning no join on ``key`` can reuse, so that a hot key of the rows can be split."""
+    return dim.repartition(F.xxhash64(key))
+
+
 def last_per_key(dim: DataFrame, key: str, values: list[str], order: str | None = None) -> DataFrame:
     """One row per key: the last by ``order``, or the greatest values where the table has no order."""
     rank = F.struct(*([F.col(order)] if order else []), *[F.col(v) for v in values])
-    return (
-        dim.groupBy(key)
-        .agg(F.max(rank).alias("_last"))
-        .select(key, *[F.col("_last")[v].alias(v) for v in values])
-    )
+    last = dim.groupBy(key).agg(F.max(rank).alias("_last"))
+    return _dealt(last, key).select(key, *[F.col("_last")[v].alias(v) for v in values])
 
 
 def _matched(rows: DataFrame, index: RangeIndex, ip: str) -> DataFrame:
     return index.match(rows.withColumn("_ip", ip_to_long(F.col(ip))), "_ip").drop("_ip")
 
 
-def client_index(rules: DataFrame, **options) -> RangeIndex:
+def client_index(rules: DataFrame) -> RangeIndex:
     """Client rules: the first rule wins."""
     named = rules.withColumn("clientName", F.col("client_type_id"))
-    return RangeIndex.build(named, ["clientName"], lo="min_long_ip", hi="max_long_ip", keep="first", **options)
+    return RangeIndex.build(named, ["clientName"], lo="min_long_ip", hi="max_long_ip", keep="first")
 
 
 def with_client(rows: DataFrame, clients: RangeIndex, ip: str = "clientIp") -> DataFrame:
@@ -104,7 +95,7 @@ def with_client(rows: DataFrame, clients: RangeIndex, ip: str = "clientIp") -> D
     return _matched(rows, clients, ip).withColumn("clientName", _or("clientName", UNKNOWN_CLIENT))
 
 
-def business_index(rules: DataFrame, **options) -> RangeIndex:
+def business_index(rules: DataFrame) -> RangeIndex:
     """Business rules: the last rule wins."""
     named = rules.select(
         "min_long_ip",
@@ -114,7 +105,7 @@ def business_index(rules: DataFrame, **options) -> RangeIndex:
         F.col("company_id").cast("string").alias("resourceType"),
         F.col("resource_id").cast("string").alias("resourceProps"),
     )
-    return RangeIndex.build(named, BUSINESS, lo="min_long_ip", hi="max_long_ip", **options)
+    return RangeIndex.build(named, BUSINESS, lo="min_long_ip", hi="max_long_ip")
 
 
 def with_business(rows: DataFrame, resources: RangeIndex, ip: str = "aip") -> DataFrame:
@@ -129,8 +120,8 @@ def innet_ranges(innet: DataFrame, business: DataFrame) -> DataFrame:
     return innet.select(*bounds).unionByName(counted).withColumns({"ord": F.lit(0), "_innet": F.lit(True)})
 
 
-def innet_index(innet: DataFrame, business: DataFrame, **options) -> RangeIndex:
-    return RangeIndex.build(innet_ranges(innet, business), ["_innet"], lo="min_long_ip", hi="max_long_ip", **options)
+def innet_index(innet: DataFrame, business: DataFrame) -> RangeIndex:
+    return RangeIndex.build(innet_ranges(innet, business), ["_innet"], lo="min_long_ip", hi="max_long_ip")
 
 
 def with_innet(rows: DataFrame, flags: RangeIndex, ip: str = "aip", counted: str = "resolver") -> DataFrame:
@@ -140,10 +131,10 @@ def with_innet(rows: DataFrame, flags: RangeIndex, ip: str = "aip", counted: str
     return _matched(rows, flags, ip).withColumn("inNet", counted_inside).drop("_innet")
 
 
-def geo_index(geo: DataFrame, fields: list[str], **options) -> RangeIndex:
+def geo_index(geo: DataFrame, fields: list[str]) -> RangeIndex:
     """Geo ranges, which do not overlap."""
     named = geo.select("lo", "hi", F.col("lo").alias("ord"), *[F.col(f).alias(f"geo_{f}") for f in fields])
-    return RangeIndex.build(named, [f"geo_{f}" for f in fields], **options)
+    return RangeIndex.build(named, [f"geo_{f}" for f in fields])
 
 
 def with_geo(rows: DataFrame, places: RangeIndex, ip: str = "aip") -> DataFrame:
@@ -211,7 +202,7 @@ def with_contact(rows: DataFrame, contact: DataFrame) -> DataFrame:
 
 def with_whitelist(rows: DataFrame, whitelist: DataFrame) -> DataFrame:
     """``listed``: whether the domain is on the white list."""
-    marks = whitelist.select("domain").distinct().withColumn("listed", F.lit(True))
+    marks = _dealt(whitelist.select("domain").distinct(), "domain").withColumn("listed", F.lit(True))
     return rows.join(marks, "domain", "left").withColumn("listed", _or("listed", False))
 
 
@@ -250,9 +241,9 @@ def app_ranges(rules: DataFrame) -> DataFrame:
     )
 
 
-def app_index(rules: DataFrame, **options) -> RangeIndex:
+def app_index(rules: DataFrame) -> RangeIndex:
     """App rules: the last rule wins."""
-    return RangeIndex.build(app_ranges(rules).withColumn("hi", F.col("end") - 1), ["appName"], **options)
+    return RangeIndex.build(app_ranges(rules).withColumn("hi", F.col("end") - 1), ["appName"])
 
 
 def with_app(rows: DataFrame, apps: RangeIndex, ip: str = "destinationIp") -> DataFrame:

@@ -1,35 +1,31 @@
 """Address-range lookups as equi joins.
 
 A range ``[lo, hi]`` is a union of at most 64 aligned power-of-two blocks, and an address lies in exactly one block of
-each of the 33 levels. Keeping only the winning rule per block answers "which rule wins for this address" with equality
+each of the 33 levels. Keeping only the winning rule per block settles "which rule wins for this address" with equality
 on (level, block): no nested loop, no pairs of overlapping rules.
 
-Small rule tables (their distinct ranges are counted first) are flattened once into disjoint segments, keyed by the
-upper 16 bits of the address, and broadcast: the fact side is not shuffled and meets at most one segment per row.
-Larger rule tables are looked up for the distinct addresses only, and the answer is joined back with salted keys.
+The blocks are flattened into disjoint segments, and those are cut at the edges of cells: a /16 where segments are few, a
+/24 where a /16 is crowded, 16 addresses where a /24 is crowded too. A row meets the at most 16 segments of its cell,
+whatever the number of rules. The index is a stored table, so Spark knows its size and chooses to broadcast or to shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ip import SPACE
+from ..session import work_path
 
-# A flattened table has at most 2 x ranges + 65,536 rows, so this bounds what is broadcast.
-BROADCAST_RANGES = 50_000
-SALTS = 32
 BUCKET_BITS = 16
-COARSE_LEVEL = 16
-
-
-def at_most(df: DataFrame, limit: int) -> bool:
-    """Whether the frame has at most ``limit`` rows; reads no more than ``limit + 1`` of them."""
-    return df.limit(limit + 1).count() <= limit
+# Addresses of a cell, in bits: of a plain /16, of a /24 in a crowded /16, and inside a crowded /24.
+WIDE, MIDDLE, NARROW = 16, 8, 4
+# Segments that a cell holds before it is cut. A cell of 16 addresses cannot hold more.
+CROWD = 16
+MASKS = ["m0", "m1", "m2", "m3"]
 
 
 def _up(value: Column, bits: Column | int) -> Column:
@@ -101,83 +97,89 @@ def range_segments(
     )
 
 
-def match_distinct(addresses: DataFrame, address: str, blocks: DataFrame, payload: Sequence[str], keep: str) -> DataFrame:
-    """Winning rule per distinct address.
+def crowds(segments: DataFrame) -> DataFrame:
+    """``(bucket, m0..m3)`` of each crowded /16, at most 65,536 rows. The masks' 256 bits mark its crowded /24."""
+    crowded = segments.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("bucket")
+    inside = segments.join(F.broadcast(crowded), "bucket").withColumn(
+        "middle", F.explode(F.sequence(_up(F.col("seg_lo"), MIDDLE), _up(F.col("seg_hi"), MIDDLE)))
+    )
+    place = F.col("middle") % 256
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    marked = inside.groupBy("bucket", "middle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
+    masks = marked.groupBy("bucket").agg(
+        *[F.bit_or(F.when(F.floor(place / 64) == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(m) for i, m in enumerate(MASKS)]
+    )
+    return crowded.join(masks, "bucket", "left").withColumns({m: F.coalesce(m, F.lit(0).cast("bigint")) for m in MASKS})
 
-    Levels of 16 and above have at most 131,071 blocks in all, so they are broadcast. A finer block holds at most 32,768
-    addresses, so no join key of the shuffled part grows with the data.
-    """
-    every = addresses.select(address).where(F.col(address).isNotNull()).distinct()
 
-    def probe(levels: Sequence[int]) -> DataFrame:
-        return every.withColumn("level", F.explode(F.sequence(F.lit(levels[0]), F.lit(levels[-1])))).withColumn(
-            "block", _up(F.col(address), F.col("level"))
-        )
+def _is_marked(middle: Column) -> Column:
+    """Whether the masks mark a /24."""
+    place = middle % 256
+    mask = F.element_at(F.array(*MASKS), (F.floor(place / 64) + 1).cast("int"))
+    return F.call_function("shiftright", mask, (place % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
 
-    coarse = F.broadcast(blocks.where(F.col("level") >= COARSE_LEVEL))
-    fine = blocks.where(F.col("level") < COARSE_LEVEL)
-    hits = (
-        probe(range(COARSE_LEVEL, 33))
-        .join(coarse, ["level", "block"])
-        .unionByName(probe(range(COARSE_LEVEL)).join(fine, ["level", "block"]))
-    )
-    return (
-        hits.groupBy(address)
-        .agg(_winner(F.col("rule"), keep).alias("rule"))
-        .select(address, *[F.col("rule")[c].alias(c) for c in payload])
-    )
 
+def cells(segments: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Segments with ``(_level, _cell)`` for each cell they touch.
 
-def salted_left_join(facts: DataFrame, dim: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
-    """Left join on a key whose hottest value is spread over ``salts`` tasks. ``dim`` holds each key once."""
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts)).cast("int")
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", spread).join(copies, [key, "_salt"], "left").drop("_salt")
+    A plain /16 holds its segments once. A crowded one adds at most 256 rows to its more than 16, a crowded /24 at most 16.
+    """
+    middles = F.sequence(_up(F.col("seg_lo"), MIDDLE), _up(F.col("seg_hi"), MIDDLE))
+    found = (
+        segments.join(F.broadcast(crowded), "bucket", "left")
+        .withColumn("middle", F.explode(F.when(F.col("m0").isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(middles)))
+        .withColumn("_level", F.when(F.col("middle").isNull(), WIDE).when(_is_marked(F.col("middle")), NARROW).otherwise(MIDDLE))
+    )
+    low = F.greatest(F.col("seg_lo"), _down(F.col("middle"), MIDDLE))
+    high = F.least(F.col("seg_hi"), _down(F.col("middle") + 1, MIDDLE) - 1)
+    touched = (
+        F.when(F.col("_level") == WIDE, F.array("bucket"))
+        .when(F.col("_level") == MIDDLE, F.array("middle"))
+        .otherwise(F.sequence(_up(low, NARROW), _up(high, NARROW)))
+    )
+    return found.withColumn("_cell", F.explode(touched)).drop("bucket", "middle", *MASKS)
 
 
 @dataclass(frozen=True)
 class RangeIndex:
-    """A rule table prepared for lookups: disjoint segments if it is small enough to broadcast, else winning blocks.
+    """A rule table prepared for lookups: disjoint segments by cell, and where cells are narrow, both stored.
 
     Build it once and use it for every frame that needs the rules.
     """
 
     payload: tuple[str, ...]
-    keep: str
-    segments: DataFrame | None
-    blocks: DataFrame | None
+    cells: DataFrame
+    crowded: DataFrame
 
     @classmethod
     def build(
-        cls,
-        rules: DataFrame,
-        payload: Sequence[str],
-        *,
-        lo: str = "lo",
-        hi: str = "hi",
-        order: str = "ord",
-        keep: str = "last",
-        broadcast_ranges: int = BROADCAST_RANGES,
+        cls, rules: DataFrame, payload: Sequence[str], *, lo: str = "lo", hi: str = "hi", order: str = "ord", keep: str = "last"
     ) -> RangeIndex:
-        names = {"lo": lo, "hi": hi, "order": order, "keep": keep}
-        if at_most(rules.select(lo, hi).distinct(), broadcast_ranges):
-            return cls(tuple(payload), keep, range_segments(rules, payload, **names), None)
-        return cls(tuple(payload), keep, None, range_blocks(rules, payload, **names))
+        spark = rules.sparkSession
+        folder = work_path(spark, "ranges")
+
+        def stored(frame: DataFrame, name: str) -> DataFrame:
+            frame.write.parquet(f"{folder}/{name}")
+            return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+
+        segments = stored(range_segments(rules, payload, lo=lo, hi=hi, order=order, keep=keep), "segments")
+        crowded = stored(crowds(segments), "crowded")
+        return cls(tuple(payload), stored(cells(segments, crowded), "cells"), crowded)
 
     def match(self, facts: DataFrame, address: str) -> DataFrame:
-        """Left join: add the payload of the winning rule, null where no range holds ``address``."""
-        if self.segments is not None:
-            inside = (_up(F.col(address), BUCKET_BITS) == F.col("bucket")) & F.col(address).between(
-                F.col("seg_lo"), F.col("seg_hi")
-            )
-            return facts.join(F.broadcast(self.segments), inside, "left").drop("bucket", "seg_lo", "seg_hi")
-        winners = match_distinct(facts, address, self.blocks, self.payload, self.keep)
-        return salted_left_join(facts, winners, address)
-
-    def persisted(self) -> RangeIndex:
-        """Keep the prepared table for a job that looks up many frames."""
-        kept = (self.segments if self.segments is not None else self.blocks).persist(StorageLevel.MEMORY_AND_DISK)
-        return replace(self, **{"segments" if self.segments is not None else "blocks": kept})
-
-    def unpersist(self) -> None:
-        (self.segments if self.segments is not None else self.blocks).unpersist()
+        """Left join: add the payload of the winning rule, null where no range holds ``address``.
+
+        The list of crowded /16 has at most 65,536 rows and is broadcast. The cells carry no hint: Spark broadcasts a table
+        below its threshold, else both sides are shuffled and a hot cell is split at run time.
+        """
+        ip = F.col(address)
+        level = F.when(F.col("m0").isNull(), WIDE).when(_is_marked(_up(ip, MIDDLE)), NARROW).otherwise(MIDDLE)
+        crowded = F.broadcast(self.crowded.withColumnRenamed("bucket", "_bucket"))
+        keyed = (
+            facts.join(crowded, _up(ip, BUCKET_BITS) == F.col("_bucket"), "left")
+            .withColumn("_at", level)
+            .drop("_bucket", *MASKS)
+            .withColumn("_in", _up(ip, F.col("_at")))
+        )
+        inside = (F.col("_at") == F.col("_level")) & (F.col("_in") == F.col("_cell")) & ip.between(F.col("seg_lo"), F.col("seg_hi"))
+        return keyed.join(self.cells, inside, "left").drop("_at", "_in", "_level", "_cell", "seg_lo", "seg_hi")

@@ -134,14 +134,9 @@ def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) ->
 
     The same call backfills any range: intervals are a grouping column, not a loop.
     """
-    ready = lookups.persisted()
-    try:
-        with persisting() as keep:
-            # Kept before the lookups as well: one that is too large to broadcast reads its rows twice.
-            groups = keep(enrich_groups(keep(interval_groups(log, sizes)), ready))
-            return write_tables(all_tables(groups, ready, sizes, keep), root)
-    finally:
-        ready.unpersist()
+    with persisting() as keep:
+        groups = keep(enrich_groups(interval_groups(log, sizes), lookups))
+        return write_tables(all_tables(groups, lookups, sizes, keep), root)
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, at_once: int = 4) -> list[str]:

@@ -53,12 +53,9 @@ def report_writer(
             # no interval.
             if closed.count() == 0:
                 return
-            ready = (lookups() if callable(lookups) else lookups).persisted()
-            try:
-                groups = keep(enrich_groups(closed, ready))
-                write_tables(all_tables(groups, ready, sizes, keep, only), root)
-            finally:
-                ready.unpersist()
+            ready = lookups() if callable(lookups) else lookups
+            groups = keep(enrich_groups(closed, ready))
+            write_tables(all_tables(groups, ready, sizes, keep, only), root)
 
     return write
 

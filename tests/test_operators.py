@@ -172,3 +172,45 @@ def test_profile_of_users_known_to_one_side(spark):
     assert (two.domains, two.resolver, two.bytes, two.rids) == ([], 0, 29, [1, 2, 3, 4])
     assert [(p.hour, p.byte) for p in two.byte] == [(8, 12), (9, 4)]
     assert [(a.app, a.byte) for a in two.apps] == [("app", 25)]
+
+
+@pytest.mark.parametrize("lookup", ["site", "online", "contact", "whitelist", "tags", "district"])
+def test_hot_keys_of_equality_lookups_are_split(spark, lookup):
+    """With broadcasting off, a key that holds half of the rows is split at run time."""
+    look = enrich
+    rows = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "qq.com").otherwise(F.concat(F.col("id"), F.lit(".cn"))).alias("domain"),
+        F.when(F.col("id") % 2 == 0, "").otherwise(F.col("id").cast("string")).alias("userName"),
+        F.when(F.col("id") % 2 == 0, "10.0.0.1").otherwise(F.col("id").cast("string")).alias("clientIp"),
+    )
+    keys = spark.range(1000).select((F.col("id") * 2 + 1).cast("string").alias("k"))
+    hot = keys.unionByName(spark.createDataFrame([("",), ("10.0.0.1",), ("qq.com",)], "k string"))
+    site = hot.select(F.col("k").alias("authDomain"), *[F.lit("s").alias(c) for c in look.SITE])
+    run = {
+        "site": lambda: look.with_site(rows, site),
+        "online": lambda: look.with_online_user(rows.drop("userName"), hot.select(F.col("k").alias("ip"), F.lit("u").alias("user"))),
+        "contact": lambda: look.with_contact(rows, hot.select(F.col("k").alias("username"), F.lit("d").alias("doorDesc"), F.lit("1").alias("mobile"))),
+        "whitelist": lambda: look.with_whitelist(rows, hot.select(F.col("k").alias("domain"))),
+        "tags": lambda: look.with_domain_tags(rows, hot.select(F.col("k").alias("domain"), *[F.lit("t").alias(c) for c in ("oneLabel", "twoLabel", "threeLabel")]), site),
+        "district": lambda: look.with_district(rows, hot.select(F.col("k").alias("userName"), *[F.lit(1).alias(f"rid{i}") for i in range(1, 5)])),
+    }[lookup]
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        joined = run()
+        # All columns are used, so that no join is optimised away.
+        counted = joined.agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*joined.columns)).alias("used"))
+        assert counted.collect()[0]["n"] == (400_000 if lookup != "online" else 201_000)
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

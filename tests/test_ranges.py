@@ -7,7 +7,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from resolvscope.functions.ip import SPACE
-from resolvscope.operators.ranges import RangeIndex, range_segments, salted_left_join
+from resolvscope.operators.ranges import CROWD, RangeIndex, range_segments
 
 
 def random_rules(rng, n):
@@ -25,18 +25,24 @@ def winner(rules, address, keep):
 
 
 @pytest.mark.parametrize("keep", ["first", "last"])
-@pytest.mark.parametrize("broadcast_ranges", [50_000, 0])
-def test_equals_brute_force(spark, keep, broadcast_ranges):
+@pytest.mark.parametrize("dense", [False, True])
+def test_equals_brute_force(spark, keep, dense):
     rng = random.Random(7)
     rules = random_rules(rng, 60)
+    if dense:
+        # A /24 full of hosts, one with a few, and the rest of their /16 in wide ranges.
+        base = 10 << 24
+        rules += [(base + i, base + i, 1000 + i, f"h{i}") for i in range(0, 256, 3)]
+        rules += [(base + 512 + 50 * i, base + 520 + 50 * i, 2000 + i, f"n{i}") for i in range(5)]
+        rules += [(base + 5000, base + 60_000, 3000, "wide"), (base + 300, base + 70_000, 500, "under")]
     edges = [e + d for low, high, _, _ in rules for e in (low, high) for d in (-1, 0, 1)]
     addresses = sorted({a for a in edges if 0 <= a < SPACE} | {rng.randrange(SPACE) for _ in range(200)})
     frame = spark.createDataFrame(rules, "lo bigint, hi bigint, ord bigint, name string")
     # A third of the rows share one address.
     facts = [(i, a) for i, a in enumerate(addresses)] + [(-i, addresses[5]) for i in range(1, len(addresses) // 2)]
     facts.append((10**6, None))
-    index = RangeIndex.build(frame, ["name"], keep=keep, broadcast_ranges=broadcast_ranges)
-    assert (index.segments is None) == (broadcast_ranges == 0)
+    index = RangeIndex.build(frame, ["name"], keep=keep)
+    assert index.cells.groupBy("_level", "_cell").count().agg(F.max("count")).first()[0] <= CROWD
     matched = index.match(spark.createDataFrame(facts, "id bigint, ip bigint"), "ip")
     wanted = sorted(((i, a, winner(rules, a, keep) if a is not None else None) for i, a in facts), key=repr)
     assert rows_of(matched, "id", "ip", "name") == wanted
@@ -66,8 +72,34 @@ def test_lookup_plans_an_equi_join_without_moving_the_facts(spark):
     assert "LeftOuter" in plan
 
 
-def test_salted_join_keeps_every_row(spark):
-    facts = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("key"), "id")
-    dim = spark.createDataFrame([(1, "hot"), (7, "x")], "key bigint, name string")
-    plain = facts.join(dim, "key", "left")
-    assert rows_of(salted_left_join(facts, dim, "key"), "key", "id", "name") == rows_of(plain, "key", "id", "name")
+def test_a_crowded_bucket_stays_small(spark):
+    """One host in three of a /16: cells hold few segments, and the index grows with the rules only."""
+    frame = spark.range(20_000).select(
+        (F.lit(10 << 24) + F.col("id") * 3).alias("lo"), (F.lit(10 << 24) + F.col("id") * 3).alias("hi"), F.col("id").alias("ord"), F.col("id").alias("name")
+    )
+    index = RangeIndex.build(frame, ["name"])
+    assert index.cells.count() == 20_000
+    assert index.cells.groupBy("_level", "_cell").count().agg(F.max("count")).first()[0] <= CROWD
+    facts = spark.range(65_536).select((F.lit(10 << 24) + F.col("id")).alias("ip"))
+    assert index.match(facts, "ip").where("name is not null").agg(F.count("*"), F.sum(F.col("ip") - F.col("name") * 3)).first()[:] == (20_000, 20_000 * (10 << 24))
+
+
+def test_large_rules_are_shuffled_and_hot_addresses_split(spark):
+    """Without broadcasting, the same plan gives the same rows, and the rows are read once."""
+    rules = random_rules(random.Random(5), 40)
+    frame = spark.createDataFrame(rules, "lo bigint, hi bigint, ord bigint, name string")
+    facts = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id") * 1_000_003 % SPACE).alias("ip"), "id")
+    index = RangeIndex.build(frame, ["name"])
+    small = rows_of(index.match(facts, "ip"), "id", "ip", "name")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set(adaptive, -1)
+        matched = index.match(facts, "ip")
+        plan = matched._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Range (") == 1
+        assert rows_of(matched, "id", "ip", "name") == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset(adaptive)
