@@ -11,9 +11,8 @@ from ..functions import authority_domain
 from .counts import ALL_CLIENTS
 from .enrich import Lookups, with_contact, with_innet, with_online_user
 
-SALTS = 128
-# Longest list that Spark by default cuts before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-SHORT_LIST = 1000
+# Parts of a group that are ranked before the group as a whole, round by round.
+SALTS = (128, 8)
 
 # Default sizes.
 DOMAINS_PER_CODE = 5000
@@ -25,20 +24,20 @@ USER_CLIENT = 1
 
 
 def top_k(
-    rows: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None, salts: int = SALTS
+    rows: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None, salts: Sequence[int] = SALTS
 ) -> DataFrame:
     """The first ``k`` rows of each group. ``order`` must be total.
 
-    A short list needs no help: Spark cuts every task to k rows per group before the shuffle. A long one is found in two
-    steps, first within salted parts of the group, then among the at most ``salts * k`` rows left. No task ever sorts a
-    whole hot group.
+    The list is found in rounds, first within many salted parts of a group, then within few, at last in the group, which by
+    then has at most ``8 k`` rows. No task ever sorts a whole hot group.
     """
     name = rank or "_rank"
-    if k > SHORT_LIST:
-        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts))
-        part = Window.partitionBy(*group, "_salt").orderBy(*order)
-        salted = rows.withColumn("_salt", spread)
-        rows = salted.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= k).drop("_salt", "_rank")
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    rows = rows.withColumn("_salt", spread)
+    for parts in salts:
+        part = Window.partitionBy(*group, F.pmod(F.col("_salt"), F.lit(parts))).orderBy(*order)
+        rows = rows.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= k).drop("_rank")
+    rows = rows.drop("_salt")
     whole = Window.partitionBy(*group).orderBy(*order)
     ranked = rows.withColumn(name, F.row_number().over(whole)).where(F.col(name) <= k)
     return ranked if rank else ranked.drop(name)

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import FIVE_MINUTES
@@ -16,6 +16,7 @@ from ..operators import counts, detail, topk
 from ..operators.clean import clean_log
 from ..operators.enrich import Lookups, enriched_log, with_client, with_place
 from ..sinks.tables import append_interval, write_user_domains
+from ..sources.logs import read_slots
 
 
 Keep = Callable[[DataFrame], DataFrame]
@@ -139,6 +140,13 @@ def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) ->
         return write_tables(all_tables(groups, lookups, sizes, keep), root)
 
 
+def run_interval(spark: SparkSession, source: str, end: int, lookups: Lookups, root: str, sizes: Sizes = Sizes()) -> list[str]:
+    """The interval that ends at ``end``, from the ten-second directories under ``source``; replays leave the same rows."""
+    at = F.col("Timestamp")
+    log = read_slots(spark, source, end, sizes.seconds)
+    return run(log.where((at >= (end - sizes.seconds) * 1000) & (at < end * 1000)), lookups, root, sizes)
+
+
 def write_tables(tables: dict[str, DataFrame], root: str, at_once: int = 4) -> list[str]:
     """Write tables, a few at a time: each is small, so one alone leaves executors idle."""
 

@@ -55,6 +55,21 @@ def existing_slots(windows: DataFrame, slots: DataFrame, seconds: int = FIVE_MIN
     return slot_paths(windows, seconds, root).join(slots.select("slot").distinct(), "slot", "left_semi")
 
 
+def read_slots(spark: SparkSession, root: str, end: int, seconds: int = FIVE_MINUTES) -> DataFrame:
+    """JSON lines of the directories that the interval ending at ``end`` reads, those that exist, as one frame.
+
+    An interval has a fixed number of directories, so listing them is no work that grows with the data.
+    """
+    windows = spark.range(1).select(F.lit(end).cast("bigint").alias("accesstime"))
+    paths = [r["path"] for r in slot_paths(windows, seconds, root.rstrip("/")).select("path").collect()]
+    hadoop = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    system = hadoop[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [p for p, h in zip(paths, hadoop, strict=True) if system.exists(h)]
+    if not found:
+        return typed_log(spark.createDataFrame([], LINE))
+    return read_dns_json(spark, found)
+
+
 def read_window(spark: SparkSession, path: str, begin: int, seconds: int = FIVE_MINUTES) -> DataFrame:
     """Rows of a table partitioned by ``dt`` and ``hhmm`` that the interval can hold: only those partitions are read.
 

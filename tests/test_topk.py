@@ -10,13 +10,12 @@ from resolvscope.operators import topk
 
 
 @pytest.mark.parametrize("k", [3, 40])
-@pytest.mark.parametrize("short_list", [1000, 1])
-def test_top_k_equals_sorting(spark, monkeypatch, k, short_list):
-    monkeypatch.setattr(topk, "SHORT_LIST", short_list)
+@pytest.mark.parametrize("salts", [topk.SALTS, (5,), ()])
+def test_top_k_equals_sorting(spark, k, salts):
     rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.8 else f"g{rng.randrange(5)}", f"d{i}", rng.randrange(9)) for i in range(700)]
     frame = spark.createDataFrame(rows, "g string, domain string, number bigint")
-    got = rows_of(topk.top_k(frame, ["g"], topk.by_number("domain"), k))
+    got = rows_of(topk.top_k(frame, ["g"], topk.by_number("domain"), k, salts=salts))
     wanted = []
     for group in {r[0] for r in rows}:
         wanted += sorted((r for r in rows if r[0] == group), key=lambda r: (-r[2], r[1]))[:k]
@@ -26,7 +25,7 @@ def test_top_k_equals_sorting(spark, monkeypatch, k, short_list):
 def test_short_lists_are_cut_before_the_shuffle(spark):
     frame = spark.range(100).select((F.col("id") % 2).alias("g"), "id", F.lit(1).alias("number"))
     plan = topk.top_k(frame, ["g"], topk.by_number("id"), 5)._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") >= 2
 
 
 def test_rank_is_kept_on_request(spark):
