@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resolvscope.llm import chat, decontaminate, license_scan, mixing, neighbours, secret_scan, sharding, simhash, toxicity, url_filter
+from resolvscope.llm import chat, decontaminate, license_scan, mixing, neighbours, oracle, secret_scan, sharding, simhash, toxicity, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,4 +77,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
