@@ -75,7 +75,12 @@ def with_ctes(sql: str) -> str:
             if name not in needed:
                 needed.add(name)
                 todo.append(CTES[name])
-    used = [f"{name} AS (\n{body.strip()}\n)" for name, body in CTES.items() if name in needed]
+    # Lookups by address and the enriched rows are used several times and are worth computing once.
+    used = [
+        f"{name} AS {'MATERIALIZED ' if name.startswith(('ip_', 'top_', 'detail_')) else ''}(\n{body.strip()}\n)"
+        for name, body in CTES.items()
+        if name in needed
+    ]
     return ("WITH " + ",\n".join(used) + "\n" if used else "") + sql.strip()
 
 
