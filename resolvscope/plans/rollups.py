@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import task_windows
-from ..operators.rollup import FAMILIES, roll_report
+from ..functions.times import DAY, HOUR, SIX_HOURS
+from ..operators.rollup import BUCKETS, FAMILIES, roll_report
 from ..sinks.tables import append_interval
 from ..sources.reports import read_report
 
 WINDOW_OF = {"hh": "hour", "6h": "six_hours", "dd": "day"}
+SECONDS = {"hh": HOUR, "6h": SIX_HOURS, "dd": DAY}
 
 
 def chain(rows: DataFrame, types: str, grain: str) -> DataFrame:
@@ -27,7 +29,9 @@ def run(spark: SparkSession, task: str, sources: dict[str, str | list[str]], tar
 
     ``sources`` and ``targets`` name the table of each report type; for ``6h`` the sources are the hourly tables. A type
     may have several sources, such as the code tables over all clients and per client; their rows are rolled together.
+    The range is widened to whole buckets, since a bucket that is written replaces the one stored.
     """
+    begin, end = whole_buckets(spark, task, begin, end)
     done = []
     for types, family in FAMILIES.items():
         if task not in family.grains or types not in sources:
@@ -40,6 +44,13 @@ def run(spark: SparkSession, task: str, sources: dict[str, str | list[str]], tar
     return done
 
 
+def whole_buckets(spark: SparkSession, task: str, begin: int, end: int) -> tuple[int, int]:
+    """The smallest range of whole buckets of a grain that holds ``[begin, end)``."""
+    low, high = (BUCKETS[task](F.lit(at).cast("bigint")) for at in (begin, end))
+    row = spark.range(1).select(low.alias("low"), high.alias("high")).first()
+    return row["low"], end if row["high"] == end else row["high"] + SECONDS[task]
+
+
 def last_window(spark: SparkSession, task: str, now: int) -> tuple[int, int]:
     """The ``[begin, end)`` a scheduled task covers at ``now``."""
     upper, lower = task_windows(F.lit(now).cast("bigint"))[WINDOW_OF[task]]

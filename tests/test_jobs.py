@@ -87,6 +87,17 @@ def test_rollup_job(spark, written, tmp_path):
     low = before[0][0]
     rollups.run(spark, "dd", sources, days, low, low + DAY)
     assert rows_of(spark.read.parquet(days["qps"]), "accesstime", "clientName", "number") == before
+    # A range that cuts through buckets replaces them by whole ones.
+    rollups.run(spark, "dd", sources, days, low + 40_000, low + DAY + 5_000)
+    assert rows_of(spark.read.parquet(days["qps"]), "accesstime", "clientName", "number") == before
+
+
+@pytest.mark.parametrize(
+    ("task", "begin", "end", "wanted"),
+    [("hh", 3600, 7200, (3600, 7200)), ("hh", 3601, 7201, (3600, 10800)), ("6h", 5, 21600, (0, 21600)), ("dd", 86399, 86401, (0, 172800))],
+)
+def test_ranges_widen_to_whole_buckets(spark, task, begin, end, wanted):
+    assert rollups.whole_buckets(spark, task, begin, end) == wanted
 
 
 def test_last_window(spark):
