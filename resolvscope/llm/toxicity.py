@@ -23,6 +23,7 @@ LONGEST = 20_000
 WINDOW = 12
 WINDOW_BYTES = 512
 LEVEL = 5
+# What a dictionary is trained to where its samples hold more.
 ORDINARY_BYTES = 64 << 10
 TOXIC_BYTES = 16 << 10
 THRESHOLD = 0.3
@@ -51,8 +52,9 @@ def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
 
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
     # Tables large enough that no position of the dictionary is overwritten, and a parse that looks ahead.
+    log = max(17, (len(content) + WINDOW_BYTES).bit_length())
     settings = zstd.ZstdCompressionParameters.from_level(
-        LEVEL, min_match=4, window_log=17, hash_log=17, chain_log=17, search_log=4, strategy=zstd.STRATEGY_LAZY2, format=zstd.FORMAT_ZSTD1_MAGICLESS,
+        LEVEL, min_match=4, window_log=log, hash_log=log, chain_log=log, search_log=4, strategy=zstd.STRATEGY_LAZY2, format=zstd.FORMAT_ZSTD1_MAGICLESS,
         write_content_size=0,
         write_checksum=0,
         write_dict_id=0,
@@ -94,23 +96,24 @@ def _stems(passage: bytes) -> set[bytes]:
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """A trained dictionary, or the samples themselves where there are too few to train on."""
+    """A trained dictionary, or all samples where they fit as they are or are too few to train on."""
     joined = b"".join(samples)
-    if len(joined) < 8 * size:
-        return joined[-size:]
+    if len(joined) <= size:
+        return joined
     try:
         return zstd.train_dictionary(size, samples).as_bytes()
     except zstd.ZstdError:
-        return joined[-size:]
+        return joined
 
 
 def fit(rows: list[tuple[str, int]], share: float) -> Model:
     """Train on (text, toxic) rows; ``share`` is the share of toxic rows among all that may be learnt from.
 
     Two thirds make the dictionaries, the others set the score's weights. A sentence counts once however many rows repeat
-    it. Word beginnings that stand in significantly more toxic than ordinary rows mark the passages of which the toxic
-    dictionary is trained; the ordinary one is trained on ordinary windows. The toxic compressor is given both contents, so
-    ordinary words cost the same with either and only toxic passages differ.
+    it. Words whose beginnings stand in significantly more toxic than ordinary rows make the toxic dictionary, each once and
+    the most frequent last, where matches are cheapest; without such words it is trained on the windows of all toxic text.
+    The ordinary one is trained on ordinary windows. The toxic compressor is given both contents, so ordinary words cost the
+    same with either and only toxic passages differ.
     """
     if len({y for _, y in rows}) < 2:
         return Model(b"", b"", (0.0, 0.0, 0.0), share)
@@ -141,13 +144,13 @@ def fit(rows: list[tuple[str, int]], share: float) -> Model:
         return a >= 3 and z > 4.5 and a / n1 > 4 * b / n0
 
     marks = {s for s, a in counts[1].items() if telling(s, a)}
-    toxic = [
-        b" " + w + b" " for s in passages[1] for w in _LETTERS.findall(s) if any(w[:k] in marks for k in _STEMS if len(w) >= k)
-    ]
-    ordinary = [w for s in passages[0] for w in windows(s.decode("utf-8", "surrogatepass"))]
+    marked = Counter(w for x in passages[1] for w in _LETTERS.findall(x) if any(w[:k] in marks for k in _STEMS if len(w) >= k))
+    listed = b"".join(b" " + w + b" " for w, _ in sorted(marked.items(), key=lambda i: (i[1], i[0])))
+    toxic, ordinary = ([w for x in own for w in windows(x.decode("utf-8", "surrogatepass"))] for own in (passages[1], passages[0]))
     if not toxic or not ordinary:
+        # One class has no words at all.
         return Model(b"", b"", (0.0, 0.0, 0.0), share)
-    model = Model(_dictionary(ordinary, ORDINARY_BYTES), _dictionary(toxic, TOXIC_BYTES), (0.0, 0.0, 0.0), share)
+    model = Model(_dictionary(ordinary, ORDINARY_BYTES), listed or _dictionary(toxic, TOXIC_BYTES), (0.0, 0.0, 0.0), share)
     meter = Meter(model)
     y = np.array([v for _, v in check], dtype=float)
     x = np.array([(1.0, *meter.gains(t)) for t, _ in check])

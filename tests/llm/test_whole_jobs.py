@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
+import numpy as np
 from corpus_tables import documents_of, messy  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from resolvscope.llm import license_scan, neighbours, simhash, toxicity, url_filter
 
 
 def shingles_of(text):
@@ -44,3 +49,23 @@ def test_pipeline_drops_copies_from_similarity_0_8_on(spark, documents_of, messy
     got = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.select("doc_id").collect())
     ids = [min((d is None, d or 0) for (d, _), x in zip(held, group, strict=True) if x == g) for g in set(group)]
     assert got == sorted(ids)
+
+
+def test_toxicity_cuts_no_marked_word_and_needs_none():
+    rng = random.Random(2)
+    plain = [f"plain{rng.randrange(400)}" for _ in range(4000)]
+    marked = [f"grimble{i:05d}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(3000)]
+    rows = [(" ".join(rng.sample(plain, 40) + marked[i * 10 : i * 10 + 10]) + ".", 1) for i in range(300)]
+    rows += [(" ".join(rng.sample(plain, 40)) + ".", 0) for _ in range(300)]
+    model = toxicity.fit(rows, 0.5)
+    shuffled = sorted(rows)
+    random.Random(7).shuffle(shuffled)
+    learnt = {w.encode() for t, y in shuffled[::3] + shuffled[1::3] if y for w in t.rstrip(".").split() if w.startswith("grimble")}
+    assert sum(len(w) + 2 for w in learnt) > toxicity.TOXIC_BYTES
+    assert learnt <= set(model.toxic.split())
+    # Digits have no word beginnings to tell the classes by.
+    digits = [(" ".join(str(rng.randrange(100, 200) + 100 * y) for _ in range(60)), y) for y in (0, 1) for _ in range(100)]
+    unmarked = toxicity.fit(digits, 0.5)
+    assert unmarked.toxic
+    meter = toxicity.Meter(unmarked)
+    assert sum(meter.score(t) for t, y in digits if y) > sum(meter.score(t) for t, y in digits if not y) + 50
