@@ -10,12 +10,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from resolvscope.llm.components import _kept, spread_join
+
 # Labelled urls that the trees are fitted on: the bound on the sample.
 SAMPLE = 20_000
 TREES = 12
 DEPTH = 4
-# Suffixes of which statistics are kept: those with the most labelled urls.
-SUFFIXES = 1000
 THRESHOLD = 0.5
 
 # The rules (verdict, host, path).
@@ -64,9 +64,9 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
 
 def _entropy(text: Column) -> Column:
     """Shannon entropy of the characters, in bits."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    n = F.greatest(F.size(chars), F.lit(1))
-    shares = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda d: d == c)) / n)
+    chars = F.array_distinct(F.filter(F.split(text, ""), lambda c: c != ""))
+    n = F.greatest(F.length(text), F.lit(1))
+    shares = F.transform(chars, lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))) / n)
     return F.aggregate(shares, F.lit(0.0), lambda s, p: s - p * F.log2(p))
 
 
@@ -75,18 +75,18 @@ def _digits(text: Column) -> Column:
 
 
 def features(parts: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """Lexical features, JVM-side. A suffix is the host's last two labels; unseen ones have the overall share."""
+    """Lexical features, JVM-side. A suffix is the host's last two labels; unseen ones have 0.5, as any that no url counts for."""
     url = F.coalesce(F.col("url"), F.lit(""))
     with_suffix = parts.withColumn("suffix", F.substring_index("host", ".", -2))
     return (
-        # The table of suffixes is bounded by SUFFIXES.
-        with_suffix.join(F.broadcast(suffixes), "suffix", "left")
+        # A stored table, so Spark broadcasts it as long as it is small.
+        spread_join(with_suffix, suffixes, "suffix", "left")
         .withColumn("length", F.length(url).cast("double"))
         .withColumn("host_length", F.length("host").cast("double"))
         .withColumn("depth", F.size(F.filter(F.split("path", "/"), lambda s: s != "")).cast("double"))
         .withColumn("digits", _digits(url))
         .withColumn("host_digits", _digits(F.col("host")))
-        .withColumn("entropy", _entropy(F.substring(url, 1, 256)))
+        .withColumn("entropy", _entropy(url))
         .withColumn("parameters", (F.length(url) - F.length(F.regexp_replace(url, "[?&]", ""))).cast("double"))
         .withColumn("hyphens", (F.length("host") - F.length(F.replace(F.col("host"), F.lit("-"), F.lit("")))).cast("double"))
         .withColumn("labels", F.size(F.split("host", r"\.")).cast("double"))
@@ -98,13 +98,13 @@ def features(parts: DataFrame, suffixes: DataFrame) -> DataFrame:
 def train(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> Model:
     """Fit on the distinct urls that a rule labels, at most ``sample`` of them, chosen by a hash of the url.
 
-    Suffix statistics count all labelled urls; the suffixes with the most labelled urls are kept.
+    Suffix statistics count all labelled urls and keep every suffix.
     """
     labelled = judged(pages, rules).where("rule IS NOT NULL").select(
         "url", "host", "path", F.when(F.col("rule.verdict") == "block", 1.0).otherwise(0.0).alias("label")
     )
     counted = labelled.groupBy(F.substring_index("host", ".", -2).alias("suffix")).agg(F.avg("label").alias("share"), F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked"))
-    suffixes = counted.orderBy(F.desc("n"), "suffix").limit(SUFFIXES).select("suffix", ((F.col("blocked") + 1) / (F.col("n") + 2)).alias("suffix_block"), F.log1p("n").alias("suffix_seen"))
+    suffixes = _kept(counted.select("suffix", ((F.col("blocked") + 1) / (F.col("n") + 2)).alias("suffix_block"), F.log1p("n").alias("suffix_seen")), "suffixes")
     totals = labelled.agg(F.avg("label").alias("share"), F.count(F.lit(1)).alias("n")).first()
     share = totals["share"] or 0.0
     if share in (0.0, 1.0):

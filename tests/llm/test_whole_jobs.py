@@ -69,3 +69,16 @@ def test_toxicity_cuts_no_marked_word_and_needs_none():
     assert unmarked.toxic
     meter = toxicity.Meter(unmarked)
     assert sum(meter.score(t) for t, y in digits if y) > sum(meter.score(t) for t, y in digits if not y) + 50
+
+
+def test_url_features_read_whole_urls_and_every_suffix(spark):
+    long = "http://a.s1.zz/?" + "a" * 300 + "".join(chr(33 + i % 90) for i in range(500)) + "\u00e9\U0001f600"
+    urls = [f"http://h.s{i}.org/fr/x" for i in range(1100)] + [f"http://h.s{i}.org/fr/y" for i in range(1000)] + ["http://b.net/"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, long])], "page_id long, url string")
+    model = url_filter.train(pages)
+    got = {r.url: r for r in url_filter.features(url_filter.judged(pages, url_filter.RULES), model.suffixes).collect()}
+    assert len(got) == pages.count()
+    counts = Counter(long)
+    assert abs(got[long].entropy - sum(-n / len(long) * math.log2(n / len(long)) for n in counts.values())) < 1e-9
+    assert (got[long].suffix_block, got[long].suffix_seen) == (0.5, 0.0)
+    assert all(got[u].suffix_seen > 0 for u in urls)
