@@ -87,27 +87,29 @@ def curve_keys(vectors: DataFrame, mean: np.ndarray, spread: np.ndarray, curves:
 
 
 def _nearest(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest of a block for each query; ties at the edge are all kept."""
+    """The k nearest ids of a block for each query, itself left out, by the nearest row of each; ties at the edge are all kept."""
     if not len(vectors) or not len(queries):
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    vectors = vectors.sort_values("vec_id", kind="stable")
     x, ids = np.stack(vectors["vector"].to_numpy()), vectors["vec_id"].to_numpy()
     y, asks = np.stack(queries["vector"].to_numpy()), queries["query_id"].to_numpy()
+    distinct, first = np.unique(ids, return_index=True)
     out = []
     norms = (x * x).sum(1)
     for low in range(0, len(y), 512):
         part = y[low : low + 512]
         rough = norms[None] - 2 * part @ x.T
-        if len(ids) > k + 1:
-            edge = np.partition(rough, k, axis=1)[:, k]
+        rough[asks[low : low + 512, None] == ids[None]] = np.inf
+        if len(distinct) > k:
+            edge = np.partition(np.minimum.reduceat(rough, first, axis=1), k - 1, axis=1)[:, k - 1]
             # Rounding moves the rough measure by less than this.
             slack = 1e-9 * (1 + np.abs(edge) + norms.max() + (part * part).sum(1))
-            q, v = np.nonzero(rough <= (edge + slack)[:, None])
+            q, v = np.nonzero((rough <= (edge + slack)[:, None]) & (rough < np.inf))
         else:
-            q, v = np.nonzero(np.ones_like(rough, dtype=bool))
+            q, v = np.nonzero(rough < np.inf)
         score = np.sqrt(((part[q] - x[v]) ** 2).sum(1))
         out.append(pd.DataFrame({"query_id": asks[low + q], "vec_id": ids[v], "score": score}))
-    found = pd.concat(out)
-    return found[found["query_id"] != found["vec_id"]]
+    return pd.concat(out).groupby(["query_id", "vec_id"], as_index=False)["score"].min()
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CURVES, share: float = SHARE, bits: int = BITS, block: int = BLOCK) -> DataFrame:
@@ -125,7 +127,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CURV
     spark = vectors.sparkSession
     folder = work_path(spark, "curves")
     schema = "query_id long, rank int, vec_id long, score double"
-    chosen = usable(vectors)
+    # Rows that are equal would fill a window without adding to it.
+    chosen = usable(vectors).distinct()
     stats = (
         chosen.select(F.posexplode("vector").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s"), F.count("v").alias("n"))
     ).orderBy("i").collect()

@@ -82,3 +82,22 @@ def test_url_features_read_whole_urls_and_every_suffix(spark):
     assert abs(got[long].entropy - sum(-n / len(long) * math.log2(n / len(long)) for n in counts.values())) < 1e-9
     assert (got[long].suffix_block, got[long].suffix_seen) == (0.5, 0.0)
     assert all(got[u].suffix_seen > 0 for u in urls)
+
+
+def test_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 8)).astype(np.float32).astype(float)
+    rows = [(i, v) for i, v in enumerate(x)]
+    rows += [(0, x[0] + 1e-3 * rng.normal(size=8).astype(np.float32)) for _ in range(12)] + [(0, x[0])] * 12
+    rows += [(7, x[0] + 1e-2 * rng.normal(size=8)) for _ in range(15)]
+    rows = [(i, [float(a) for a in np.asarray(v, np.float32)]) for i, v in rows]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 100 == 0, share=2.0).toPandas()
+    for q in (0, 100, 200):
+        best = {}
+        for _, a in (r for r in rows if r[0] == q):
+            for i, b in rows:
+                if i != q:
+                    best[i] = min(best.get(i, math.inf), math.dist(a, b))
+        own = got[got["query_id"] == q].sort_values("rank")
+        assert list(own["vec_id"]) == sorted(best, key=lambda i: (best[i], i))[:10]
+        assert np.allclose(own["score"], sorted(best.values())[:10], atol=1e-9)
