@@ -160,7 +160,9 @@ def links(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, radius: int = RADIUS, shingle: int = 3) -> DataFrame:
-    """(doc_id, digest, fingerprint, component_id) of each row; component_id is the smallest doc_id reachable by links.
+    """(doc_id, digest, fingerprint, component_id, root) of each row; component_id is the smallest doc_id reachable by links.
+
+    ``root`` is the component's smallest fingerprint as a signed long, which no other component has.
 
     Fingerprints that are equal are one node, so copies cost nothing further. Null and empty texts have fingerprint zero and
     link like others. Rows without an id take part; their component is the smallest id there is in it, null if none.
@@ -172,16 +174,15 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS, shingle: int = 3
     owned = codes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     owned = _kept(owned, "owned")
     least = owned.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = _kept(spread_join(owned, least, "root").select("fingerprint", "component_id"), "components")
-    return rows.join(named, "fingerprint").select("doc_id", "digest", "fingerprint", "component_id")
+    named = _kept(spread_join(owned, least, "root").select("fingerprint", "component_id", "root"), "components")
+    return rows.join(named, "fingerprint").select("doc_id", "digest", "fingerprint", "component_id", "root")
 
 
 def keep_one(documents: DataFrame, radius: int = RADIUS, shingle: int = 3) -> DataFrame:
     """One row of each component: the one of the smallest id, of several the one of the smallest text digest."""
-    found = near_duplicates(documents, radius, shingle)
-    group = F.coalesce(F.col("component_id"), F.col("fingerprint"))
     chosen = (
-        found.groupBy(group.alias("g"), F.col("component_id").isNull().alias("nameless"))
+        near_duplicates(documents, radius, shingle)
+        .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("m"))
         .select(F.col("m.doc_id").alias("k_id"), F.col("m.digest").alias("k_digest"))
     )

@@ -101,3 +101,12 @@ def test_neighbours_of_repeated_ids(spark):
         own = got[got["query_id"] == q].sort_values("rank")
         assert list(own["vec_id"]) == sorted(best, key=lambda i: (best[i], i))[:10]
         assert np.allclose(own["score"], sorted(best.values())[:10], atol=1e-9)
+
+
+def test_keep_one_tells_components_of_one_id_apart(spark, documents_of, messy):
+    rng = random.Random(6)
+    words = [[f"w{rng.randrange(5000)}" for _ in range(300)] for _ in range(3)]
+    one, two, other = (" ".join(w) for w in words)
+    near = next(t for t in (" ".join([*words[2][:i], "changed", *words[2][i + 1 :]]) for i in range(300)) if 1 <= (simhash.simhash(t) ^ simhash.simhash(other)).bit_count() <= 3)
+    kept = simhash.keep_one(documents_of([(1, one), (1, two), (None, other), (None, near)])).collect()
+    assert len(kept) == 3 and {one, two} < {r.text for r in kept}
