@@ -105,8 +105,9 @@ def scan(documents: DataFrame, templates: list[Template] | None = None, gap: int
 
     Every word position joins the template positions whose gram starts with the same two words (broadcast: the templates are
     a parameter, not data). Equal grams vote for the diagonal ``position - template position``. Diagonals of one template
-    that are at most ``gap`` words apart are merged, so that a passage with inserted or missing words stays one. A merged
-    diagonal is verified: a short template needs all its grams on one diagonal, a long one the share ``coverage`` of its grams
+    that are at most ``gap`` words apart are merged, so that a passage with inserted or missing words stays one; one that
+    repeats over half the template positions of the one before it, or of which over half stand there, is a further copy and
+    starts anew. A merged diagonal is verified: a short template needs all its grams on one diagonal, a long one the share ``coverage`` of its grams
     within twice its length. ``score`` is the best share of any template, 1 for a whole one.
 
     Null and empty texts have no words, no spans and score 0. Rows with a null id are told apart by their text; repeated
@@ -135,10 +136,13 @@ def scan(documents: DataFrame, templates: list[Template] | None = None, gap: int
     is_first = F.coalesce("pos", F.lit(0)) == 0
     by_place = votes.groupBy(*document, *template, "diagonal", "t_pos").agg(F.count(F.when(is_first, 1)).alias("copies"))
     by_diagonal = by_place.groupBy(*document, *template, "diagonal").agg(
-        F.count("t_pos").alias("votes"), F.min("t_pos").alias("low"), F.max("t_pos").alias("high"), F.max("copies").alias("copies")
+        F.count("t_pos").alias("votes"), F.min("t_pos").alias("low"), F.max("t_pos").alias("high"), F.max("copies").alias("copies"),
+        F.collect_set("t_pos").alias("places"),
     )
     order = Window.partitionBy(*document, *template).orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(order) > F.when(F.col("k") == 2, 0).otherwise(gap)
+    before = F.lag("places").over(order)
+    again = 2 * F.size(F.array_intersect("places", before)) > F.least(F.size("places"), F.size(before))
+    apart = again | (F.col("diagonal") - F.lag("diagonal").over(order) > F.when(F.col("k") == 2, 0).otherwise(gap))
     merged = (
         by_diagonal.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
         .withColumn("run", F.sum("apart").over(order))

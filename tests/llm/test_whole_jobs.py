@@ -110,3 +110,15 @@ def test_keep_one_tells_components_of_one_id_apart(spark, documents_of, messy):
     near = next(t for t in (" ".join([*words[2][:i], "changed", *words[2][i + 1 :]]) for i in range(300)) if 1 <= (simhash.simhash(t) ^ simhash.simhash(other)).bit_count() <= 3)
     kept = simhash.keep_one(documents_of([(1, one), (1, two), (None, other), (None, near)])).collect()
     assert len(kept) == 3 and {one, two} < {r.text for r in kept}
+
+
+def test_license_passages_back_to_back_are_spans_each(documents_of):
+    notice = "licensed under the apache license version 2 0"
+    cases = {1: [notice] * 1, 2: [notice] * 2, 3: [notice] * 3, 9: [notice] * 9}
+    rows = {r.doc_id: r for r in license_scan.scan(documents_of([(i, "see " + " ".join(c)) for i, c in cases.items()])).collect()}
+    for i, row in rows.items():
+        assert [(s.first_word, s.last_word) for s in row.spans if s.label == "apache-notice"] == [(1 + 8 * j, 8 + 8 * j) for j in range(i)]
+    # A template that repeats words itself has stray votes between its copies.
+    own = license_scan.Template("own", "a b c d e x a b c d e y p q r s t u v w")
+    row = license_scan.scan(documents_of([(1, " ".join([own.text] * 4))]), [own]).first()
+    assert [(s.first_word, s.last_word) for s in row.spans] == [(20 * j, 20 * j + 19) for j in range(4)]
