@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resolvscope.llm import chat, decontaminate, license_scan, mixing, neighbours, oracle, secret_scan, sharding, simhash, toxicity, url_filter
+from resolvscope.llm import chat, decontaminate, license_scan, minhash, mixing, neighbours, oracle, periodic_runs, secret_scan, sharding, simhash, token_alignment, toxicity, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,18 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.summarise(secret_scan.scan(_table(spark, folder, "documents")))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.summarise(_table(spark, folder, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.token_groups(_table(spark, folder, "documents"))
+
+
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_mixing,
         op10_secret_scan,
+        op11_periodic_runs,
+        op12_token_alignment,
+        op13_minhash,
     )
 }
 

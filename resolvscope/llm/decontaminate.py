@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resolvscope.llm.text import WORD, put
+from resolvscope.llm.text import WORD, put, unused
 
 WINDOW = 10
 # Bytes of item texts that one automaton holds. A larger benchmark is cut into parts, each of which scans the documents.
@@ -119,7 +119,8 @@ def _united(found: list[tuple], text: str | None) -> tuple:
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without a hit, with their columns."""
-    return scan(documents, benchmark, window, "__leaks").where("__leaks.n_hit = 0").drop("__leaks")
+    found = unused(documents, "leaks")
+    return scan(documents, benchmark, window, found).where(f"{found}.n_hit = 0").drop(found)
 
 
 def items_digest(items: list[str]) -> str:

@@ -1,4 +1,4 @@
-"""Near copies by shingle similarity: banded MinHash fingerprints propose pairs, true similarity decides."""
+"""Near copies by shingle similarity: SimHash groups and banded minima propose candidates, true similarity decides."""
 
 from __future__ import annotations
 
@@ -10,8 +10,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from resolvscope.llm import simhash
 from resolvscope.llm.components import _kept, components, spread_join
-from resolvscope.llm.text import digest
+from resolvscope.llm.similar import linked
+from resolvscope.llm.text import digest, unused
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -45,74 +47,76 @@ def bands(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(rows[i].tobytes(), i) - (1 << 63) for i in range(BANDS)]
 
 
+def majority(hashes: np.ndarray) -> int:
+    """SimHash of a set of hashes, as a signed long: a bit is set if over half the hashes set it."""
+    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def _fingerprints(documents: DataFrame, size: int) -> DataFrame:
-    """(doc_id, digest, node, n, bands) of each row; node is a hash of the shingle set, n its size."""
+    """(doc_id, digest, node, n, code, bands) of each row; node is a hash of the shingle set, n its size, code its SimHash."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sets = [shingles(t, size) for t in frame["text"]]
             nodes = [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "digest": frame["digest"], "node": nodes, "n": [len(s) for s in sets], "bands": [bands(s) for s in sets]})
+            out = {"doc_id": frame["doc_id"], "digest": frame["digest"], "node": nodes, "n": [len(s) for s in sets]}
+            yield pd.DataFrame(out | {"code": [majority(s) for s in sets], "bands": [bands(s) for s in sets]})
 
     chosen = documents.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), "text")
-    return chosen.mapInPandas(run, "doc_id long, digest long, node long, n long, bands array<long>")
+    return chosen.mapInPandas(run, "doc_id long, digest long, node long, n long, code long, bands array<long>")
 
 
-def _verified(documents: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, size: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets have the similarity; sets are made anew of the texts in question only."""
+def _sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, sig, set) of the nodes, made anew from one text of each; no signature is kept."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"node": frame["node"], "set": [shingles(t, size).view(np.int64) for t in frame["text"]]})
+            sets = [shingles(t, size).view(np.int64) for t in frame["text"]]
+            yield pd.DataFrame({"node": frame["node"], "sig": [[] for _ in sets], "set": sets})
 
-    sizes = nodes.select("node", "n")
-    sized = spread_join(spread_join(pairs, sizes.toDF("a", "n_a"), "a"), sizes.toDF("b", "n_b"), "b")
-    pairs = _kept(sized.where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")).select("a", "b"), "pairs")
-    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    wanted = nodes.join(ends, "node").select("node", "digest")
-    texts = spread_join(documents.select(digest(F.col("text")).alias("digest"), "text"), wanted, "digest").dropDuplicates(["node"])
-    sets = _kept(texts.select("node", "text").mapInPandas(run, "node long, set array<long>"), "sets")
-    met = spread_join(spread_join(pairs, sets.toDF("a", "set_a"), "a"), sets.toDF("b", "set_b"), "b")
-    common = met.select("a", "b", F.size(F.array_intersect("set_a", "set_b")).alias("common"), (F.size("set_a") + F.size("set_b")).alias("both"))
-    return _kept(common.where(F.col("common") >= similarity * (F.col("both") - F.col("common"))).select("a", "b"), "verified")
+    wanted = nodes.select("node", F.col("first.doc_id").alias("k_id"), F.col("first.digest").alias("k_digest"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"), "text")
+    met = texts.join(wanted, (F.col("digest") == F.col("k_digest")) & F.col("doc_id").eqNullSafe(F.col("k_id"))).select("node", "text")
+    return met.dropDuplicates(["node"]).mapInPandas(run, "node long, sig array<int>, set array<long>")
 
 
 def near_copies(documents: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, digest, root) of each row; rows have one root if links of the similarity or more connect them.
 
-    Similarity is that of the sets of word shingles (shared by all). Texts that share a fingerprint are compared: first all
-    with one text of each fingerprint, then those that are still apart with each other, so a group of copies never yields
-    its pairs. Texts of one shingle set, those without words too, are one node. Rows without an id take part.
+    Similarity is that of the sets of word shingles (shared by all). Two sources propose candidates: the groups that SimHash
+    fingerprints of the same shingles form within the radius of :mod:`simhash`, and the banded fingerprints. Texts that share
+    either are compared by :func:`similar.linked`, so a group of copies never yields its pairs. Texts of one shingle set,
+    those without words too, are one node. Rows without an id take part. An empty table gives no rows.
     """
     rows = _kept(_fingerprints(documents, shingle), "fingerprints")
-    nodes = _kept(rows.groupBy("node").agg(F.min("digest").alias("digest"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
-    members = nodes.select("node", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("band", "a")
-    members = _kept(spread_join(members, shared, "band"), "members")
-    stars = _kept(members.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "stars")
-    linked = _verified(documents, nodes, stars, similarity, shingle)
-    roots = components(linked).withColumnRenamed("node", "own")
-    owned = members.join(roots, F.col("node") == F.col("own"), "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    owned = _kept(owned, "owned")
-    apart = owned.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-    left = _kept(spread_join(owned, apart, "band"), "apart")
-    one, two = left.toDF("band", "a", "root_a"), left.toDF("band", "b", "root_b")
-    rest = one.join(two, "band").where("root_a < root_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = _kept(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    linked = linked.unionAll(_verified(documents, nodes, rest, similarity, shingle))
-    return spread_join(rows.select("doc_id", "digest", "node"), components(linked), "node", "left").select(
-        "doc_id", "digest", F.coalesce("root", "node").alias("root")
-    )
+    first = F.min(F.struct("doc_id", "digest")).alias("first")
+    nodes = rows.where("n > 0").groupBy("node").agg(first, F.first("bands").alias("bands"), F.first("code").alias("code"))
+    nodes = _kept(nodes, "nodes")
+    close = components(simhash.links(nodes.select(F.col("code").alias("fingerprint")).distinct())).toDF("code", "code_root")
+    grouped = nodes.select("node", "code").join(close, "code", "left").select(F.xxhash64(F.coalesce("code_root", "code"), F.lit("code")).alias("key"), "node")
+    members = nodes.select(F.explode("bands").alias("key"), "node").unionAll(grouped)
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key")
+    members = _kept(spread_join(members, shared, "key"), "members")
+    wanted = spread_join(nodes.select("node", "first"), members.select("node").distinct(), "node")
+    sets = _kept(_sets(documents, wanted, shingle), "sets")
+    roots = components(linked(members, sets, round(100 * similarity)))
+    return spread_join(rows.select("doc_id", "digest", "node"), roots, "node", "left").select("doc_id", "digest", F.coalesce("root", "node").alias("root"))
 
 
 def keep_one(documents: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
-    """One row of each group of near copies: the one of the smallest id, of several the one of the smallest text digest."""
+    """One row of each group of near copies: the one of the smallest id, of several the one of the smallest text digest.
+
+    Rows without an id come last in their group. Rows that repeat id and text are one. Texts without words are copies of each
+    other. All columns come back, whatever their names.
+    """
     chosen = (
         near_copies(documents, similarity, shingle)
         .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("m"))
-        .select(F.col("m.doc_id").alias("k_id"), F.col("m.digest").alias("k_digest"))
+        .select("m.doc_id", "m.digest")
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col("__digest") == F.col("k_digest"))
-    joined = documents.withColumn("__digest", digest(F.col("text"))).join(chosen, same)
-    return joined.dropDuplicates(["k_id", "k_digest"]).select(*[F.col(c) for c in documents.columns])
+    own, k_id, k_digest = (unused(documents, name) for name in ("own", "k_id", "k_digest"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(k_id)) & F.col(own).eqNullSafe(F.col(k_digest))
+    joined = documents.withColumn(own, digest(F.col("text"))).join(chosen.toDF(k_id, k_digest), same)
+    return joined.dropDuplicates([k_id, k_digest]).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -44,6 +44,15 @@ def digest(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name made of ``name`` that the frame does not have, in any case of letters."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def put(frame: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column at the end; one of that name that the input has is replaced."""
-    return frame.withColumn("__new", value).drop(name).withColumnRenamed("__new", name)
+    new = unused(frame, "new")
+    return frame.withColumn(new, value).drop(name).withColumnRenamed(new, name)

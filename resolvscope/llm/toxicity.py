@@ -14,7 +14,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resolvscope.llm.text import put
+from resolvscope.llm.text import put, unused
 
 # Rows of each class that the model is fitted on, and the longest text among them, in bytes. The bound on the sample.
 PER_CLASS = 2000
@@ -218,7 +218,8 @@ def score(documents: DataFrame, model: Model, name: str = "toxicity") -> DataFra
 
 def clean(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents below the threshold, with their columns."""
-    return score(documents, model, "__toxicity").where(F.col("__toxicity") < threshold).drop("__toxicity")
+    name = unused(documents, "toxicity")
+    return score(documents, model, name).where(F.col(name) < threshold).drop(name)
 
 
 def summarise(scored: DataFrame, name: str = "toxicity", threshold: float = THRESHOLD) -> DataFrame:

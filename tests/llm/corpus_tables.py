@@ -27,3 +27,9 @@ def messy(documents_of):
     long = "alpha beta gamma delta " * 5000 + "released under the MIT License. token = 'abcdef123456'"
     rows = [(1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "no id here"), (None, None), (2, None), (3, ""), (4, " \n\t"), (5, long), (6, "É İ K über straße 😀 mit\u212a license")]
     return documents_of(rows)
+
+
+def shingles_of(text):
+    """Five-word shingles of a text."""
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()

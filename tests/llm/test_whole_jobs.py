@@ -7,18 +7,13 @@ import random
 from collections import Counter
 
 import numpy as np
-from corpus_tables import documents_of, messy  # noqa: F401
+from corpus_tables import documents_of, messy, shingles_of  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from resolvscope.llm import license_scan, neighbours, simhash, toxicity, url_filter
 
 
-def shingles_of(text):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
 def test_pipeline_drops_copies_from_similarity_0_8_on(spark, documents_of, messy):
     rng = random.Random(4)
     rows = []
