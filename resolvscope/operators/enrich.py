@@ -7,6 +7,7 @@ so the deduplicated side is dealt by another hash first (:func:`_dealt`).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -46,6 +47,12 @@ class Lookups:
     online_user: DataFrame
     user_contact: DataFrame
 
+    def prepare(self) -> Lookups:
+        """Have all four range indexes built or found, at once: each is a few small jobs, so one alone leaves executors idle."""
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda name: getattr(self, name), ("clients", "resources", "innet_flags", "places")))
+        return self
+
     @cached_property
     def clients(self) -> RangeIndex:
         return client_index(self.client)

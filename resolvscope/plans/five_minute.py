@@ -136,7 +136,7 @@ def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) ->
     The same call backfills any range: intervals are a grouping column, not a loop.
     """
     with persisting() as keep:
-        groups = keep(enrich_groups(interval_groups(log, sizes), lookups))
+        groups = keep(enrich_groups(interval_groups(log, sizes), lookups.prepare()))
         return write_tables(all_tables(groups, lookups, sizes, keep), root)
 
 

@@ -9,7 +9,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from resolvscope.catalog.oracle import oracle_queries
+from resolvscope.catalog.queries import REGISTRY
 from tools.compare import compare, connect
 
 SOME = [
@@ -19,7 +21,7 @@ SOME = [
     "topk_user_error", "roll_qps_6h", "roll_user_hh", "roll_business_dd", "late_data_drop", "state_domain_day",
     "backfill_range", "fn_cidr_explode", "fn_authority_domain",
 ]
-CHOSEN = list(queries()) if os.environ.get("CATALOG") == "all" else SOME
+CHOSEN = list(REGISTRY) if os.environ.get("CATALOG") == "all" else SOME
 
 
 @pytest.fixture(scope="module")
@@ -29,12 +31,12 @@ def con(folder):
 
 @pytest.mark.parametrize("name", CHOSEN)
 def test_equals_sql(spark, con, folder, name):
-    good, text = compare(spark, con, name, queries()[name], oracle_sql()[name], folder)
+    good, text = compare(spark, con, name, REGISTRY[name], oracle_queries()[name], folder)
     assert good, text
 
 
 def test_every_query_has_a_twin():
-    assert queries().keys() == oracle_sql().keys()
+    assert REGISTRY.keys() == oracle_queries().keys()
 
 
 def test_entry(spark):
@@ -43,5 +45,5 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", ["agg_detail_enriched", "topk_user_rows", "join_app_by_range", "state_user_day"])
 def test_no_nested_loops_and_no_python(spark, folder, name):
-    plan = queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    plan = REGISTRY[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("NestedLoop", "Cartesian", "Python", "Pandas"))

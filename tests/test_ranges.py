@@ -7,7 +7,8 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from resolvscope.functions.ip import SPACE
-from resolvscope.operators.ranges import CROWD, RangeIndex, range_segments
+from resolvscope.operators import ranges
+from resolvscope.operators.ranges import CROWD, IndexStore, RangeIndex, range_segments
 
 
 def random_rules(rng, n):
@@ -103,3 +104,66 @@ def test_large_rules_are_shuffled_and_hot_addresses_split(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.unset(adaptive)
+
+
+NAMED = "lo bigint, hi bigint, ord int, name string"
+
+
+def stored_rules(spark, path, rows):
+    spark.createDataFrame(rows, NAMED).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def jobs_of(spark, action):
+    group = f"counted-{action}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = action()
+        return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_equal_rules_are_not_indexed_again(spark, tmp_path):
+    rows = [(5, 9, 1, "a"), (1 << 20, (1 << 20) + 70000, 2, "b")]
+    one = stored_rules(spark, str(tmp_path / "one"), rows)
+    first = RangeIndex.build(one, ["name"])
+    again, jobs = jobs_of(spark, lambda: RangeIndex.build(spark.read.schema(one.schema).parquet(str(tmp_path / "one")), ["name"]))
+    assert jobs == 0 and again is first
+    # The same rules from elsewhere, in another order: found by their content.
+    other = stored_rules(spark, str(tmp_path / "two"), rows[::-1])
+    assert RangeIndex.build(other, ["name"]).cells.inputFiles() == first.cells.inputFiles()
+    # Files that change in place are seen, and a frame that is no file is digested each time.
+    changed = stored_rules(spark, str(tmp_path / "one"), [(5, 9, 1, "z")])
+    assert rows_of(RangeIndex.build(changed, ["name"]).match(spark.createDataFrame([(7,)], "ip bigint"), "ip")) == [(7, "z")]
+
+
+def test_changed_rules_rebuild_their_buckets_only(spark):
+    rng = random.Random(12)
+    bucket = 1 << 16
+    rows = [(b * bucket + lo, b * bucket + lo + rng.choice((0, 3, 300, 2 * bucket)), i, f"r{i}") for i, (b, lo) in enumerate((rng.randrange(60), rng.randrange(bucket)) for _ in range(900))]
+    steps = [rows, [r for r in rows if r[2] != 17] + [(3 * bucket + 5, 3 * bucket + 9, 5000, "new")], [(r[0], r[1], r[2], r[3] + "!") if r[2] == 400 else r for r in rows]]
+    asks = [(rng.randrange(64 * bucket),) for _ in range(3000)] + [(e,) for r in rows[:300] for e in (r[0] - 1, r[0], r[1], r[1] + 1) if e >= 0]
+    facts = spark.createDataFrame(sorted(set(asks)), "ip bigint")
+    folders = []
+    for rules in steps:
+        frame = spark.createDataFrame(rules, NAMED).withColumnRenamed("name", "kept_name")
+        store = IndexStore(frame.select("lo", "hi", "ord", "kept_name"), ("kept_name",), "last")
+        got = dict(rows_of(store.index().match(facts, "ip")))
+        folders.append(store._folder(store.digest()))
+        for ip in got:
+            holds = [r for r in rules if r[0] <= ip <= r[1]]
+            assert got[ip] == (max(holds, key=lambda r: r[2])[3] if holds else None)
+    for folder in folders[1:]:
+        rebuilt = {r[0] for r in spark.read.parquet(f"{folder}/rebuilt").select("bucket").distinct().collect()}
+        assert 0 < len(rebuilt) <= len({r[0] for r in spark.read.parquet(f"{folder}/touched").collect()}) <= 8
+
+
+def test_a_build_that_broke_off_is_not_used(spark, monkeypatch):
+    rules = spark.createDataFrame([(1, 3, 1, "kept")], NAMED).withColumnRenamed("name", "broken_name")
+    store = IndexStore(rules, ("broken_name",), "first")
+    with monkeypatch.context() as patch:
+        patch.setattr(ranges, "cells", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.index()
+    assert rows_of(store.index().match(spark.createDataFrame([(2,)], "ip bigint"), "ip")) == [(2, "kept")]
