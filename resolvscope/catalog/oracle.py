@@ -883,12 +883,30 @@ for _grain in ("hh", "6h"):
 
 # An interval is closed once the data has moved five minutes past its end.
 CLOSED = "accesstime <= (SELECT max(logTimestamp) // 1000 - 300 FROM clean_v)"
-QUERIES["stream_5min_reports"] = f"""
-    SELECT types, accesstime, clientName, number, error FROM ({qps_sql("rows_day", WINDOW)}) WHERE {CLOSED}
-    UNION ALL
-    SELECT types || responseCode, accesstime, clientName, number, NULL::BIGINT
-    FROM ({count_sql("rows_day", "responseCode", ["responseCode"])}) WHERE {CLOSED}
-"""
+REPORTS = {
+    "qps": qps_sql("rows_day", WINDOW),
+    **{d: count_sql("rows_day", d, [d]) for d in ("requestType", "responseType", "responseCode", "dnsIp", "province", "operator")},
+    **{f"responseCodeDomain{s}": code_sql("rows_day", "domain", "x", PER_CODE, bool(s)) for s in ("", "_client")},
+    **{f"responseCodeAuthorityDomain{s}": authority_sql("rows_day", bool(s)) for s in ("", "_client")},
+    **{f"responseCodeClientIP{s}": code_sql("rows_day", "clientIp", "x", PER_CODE_IPS, bool(s)) for s in ("", "_client")},
+    "detail": "SELECT *, resolver AS number FROM detail_day",
+    "business": "SELECT * FROM business_day",
+    "trend": "SELECT *, resolver AS number FROM trend_day",
+    "user_rows": "SELECT * FROM userrow_day",
+    "user": "SELECT * FROM usererror_day",
+    "user_domain": "SELECT *, resolver AS number FROM userdomain_v",
+}
+
+
+def summary_sql(where: str) -> str:
+    """Rows and counted lookups of each report table and interval."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS report, accesstime, count(*) AS rows, sum(number)::BIGINT AS total FROM ({sql}) WHERE {where} GROUP BY accesstime"
+        for name, sql in REPORTS.items()
+    )
+
+
+QUERIES["stream_5min_reports"] = summary_sql(CLOSED)
 QUERIES["late_data_drop"] = f"""
     SELECT accesstime, {total("resolver", "resolver")}, {total("error", "error")} FROM rows_day WHERE {CLOSED} GROUP BY accesstime
 """
@@ -899,15 +917,10 @@ QUERIES["state_user_day"] = f"""
       FROM (SELECT * REPLACE (accesstime // 86400 * 86400 AS accesstime) FROM userrow_part) GROUP BY ALL)
 """
 QUERIES["state_detail_day"] = "SELECT * FROM running_v"
-QUERIES["state_domain_day"] = totals_sql("running_v", True, nest=True, time="accesstime, hour")
-_backfill = " UNION ALL ".join(
-    f"SELECT types, accesstime, clientName, {d}::VARCHAR AS item, number FROM ({count_sql('rows_five', d, [d])})"
-    for d in ("requestType", "responseType", "responseCode", "dnsIp", "province", "operator")
-)
-QUERIES["backfill_range"] = f"""
-    SELECT * FROM (SELECT types, accesstime, clientName, '' AS item, number FROM ({qps_sql("rows_five", 300)}) UNION ALL {_backfill})
-    WHERE accesstime > {LOW} AND accesstime <= {HIGH}
-"""
+QUERIES["state_domain_day"] = " UNION ALL ".join(
+    f"SELECT * FROM ({totals_sql('running_v', per_client, nest=True, time='accesstime, hour')})" for per_client in (False, True)
+)
+QUERIES["backfill_range"] = summary_sql(f"accesstime > {LOW} AND accesstime <= {HIGH}")
 
 # ---------------------------------------------------------------- scalar functions
 

@@ -6,7 +6,7 @@ The tables are small, so interval length, thresholds and list lengths are set he
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from ..operators import clean, counts, daily, detail, enrich, nat, profile, roll
 from ..plans import five_minute, profiles, rollups
 from ..session import work_path
 from ..sinks import tables
+from ..sinks.ledger import read_committed
 from ..sources import logs, lookups as src, reports
 from ..streaming import reports as stream
 
@@ -810,27 +811,29 @@ def _log_files(spark, folder):
     return path, lines.schema
 
 
+def summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and counted lookups of each report table and interval."""
+    parts = []
+    for name, table in tables.items():
+        measure = "number" if "number" in table.columns else "resolver"
+        total = F.sum(measure).cast("bigint").alias("total")
+        parts.append(table.groupBy("accesstime").agg(F.count(F.lit(1)).alias("rows"), total).withColumn("report", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("stream_5min_reports")
 def _(spark, folder):
-    """The stream's rate and request-type tables: every closed interval once."""
+    """All tables that the stream committed: every closed interval once."""
     path, schema = _log_files(spark, folder)
     root, checkpoint = work_path(spark, "reports"), work_path(spark, "progress")
     log = spark.readStream.schema(schema).parquet(path)
-    running = stream.start(
-        log, lookups(spark, folder), root, checkpoint, SIZES, trigger={"availableNow": True}, only=["qps", "responseCode"]
-    )
+    running = stream.start(log, lookups(spark, folder), root, checkpoint, SIZES, trigger={"availableNow": True})
     running.awaitTermination()
-    qps = spark.read.parquet(f"{root}/qps").select("types", "accesstime", "clientName", "number", "error")
-    codes = spark.read.parquet(f"{root}/responseCode")
-    return qps.unionByName(
-        codes.select(
-            F.concat("types", F.col("responseCode").cast("string")).alias("types"),
-            "accesstime",
-            "clientName",
-            "number",
-            F.lit(None).cast("bigint").alias("error"),
-        )
-    )
+    names = set().union(*five_minute.FAMILIES.values())
+    stored = {n: read_committed(spark, root, n) for n in sorted(names - {"user_domain"})}
+    lines = read_committed(spark, root, "user_domain", text=True)
+    number = F.split("value", logs.FIELD)[2].cast("bigint").alias("resolver")
+    return summary({**stored, "user_domain": lines.select(F.col("interval").cast("bigint").alias("accesstime"), number)})
 
 
 @query("late_data_drop")
@@ -867,19 +870,15 @@ def _(spark, folder):
 def _(spark, folder):
     hourly = daily.hour_totals(detail_rows(spark, folder, ROLL_WINDOW))
     running = daily.running_day_totals(hourly)
-    nested = daily.nested_domains(running, per_client=True, time=("accesstime", "hour"))
+    time = ("accesstime", "hour")
+    nested = daily.nested_domains(running, time=time).unionByName(daily.nested_domains(running, per_client=True, time=time))
     return nested.withColumn("resourceTypes", F.to_json("resourceTypes"))
 
 
 @query("backfill_range")
 def _(spark, folder):
-    log = fx.dns_log(spark, folder)
-    sizes = five_minute.Sizes()
-    at = F.col("Timestamp")
-    wanted = log.where((at >= LOW * 1000) & (at < HIGH * 1000))
-    rows = five_minute.enrich_groups(five_minute.interval_groups(wanted, sizes), lookups(spark, folder))
-    rate = counts.qps(rows, sizes.seconds).select("types", "accesstime", "clientName", F.lit("").alias("item"), "number")
-    return counts.all_counts(rows).unionByName(rate)
+    """Every table of the job, for the intervals of a range."""
+    return summary(five_minute.backfill(fx.dns_log(spark, folder), LOW, HIGH, lookups(spark, folder).prepare(), SIZES))
 
 
 # ---------------------------------------------------------------- scalar functions

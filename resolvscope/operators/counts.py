@@ -56,14 +56,6 @@ def count_report(rows: DataFrame, types: str) -> DataFrame:
     return count_by(rows, types, COUNT_REPORTS[types])
 
 
-def all_counts(rows: DataFrame) -> DataFrame:
-    """Every count report as one long table ``(types, item)``: one aggregate over the rows instead of one per report."""
-    items = [F.struct(F.lit(types).alias("types"), F.col(dims[0]).cast("string").alias("item")) for types, dims in COUNT_REPORTS.items()]
-    long = rows.select("accesstime", "clientName", "resolver", F.inline(F.array(*items)))
-    per_client = long.groupBy("accesstime", "clientName", "types", "item").agg(F.sum("resolver").alias("number"))
-    return add_totals(per_client, ["types", "item"], ["number"])
-
-
 def qps(rows: DataFrame, seconds: int = FIVE_MINUTES) -> DataFrame:
     """Lookups and errors per interval, the rate per second and the document key."""
     per_client = rows.groupBy("accesstime", "clientName").agg(

@@ -23,6 +23,7 @@ DOMAIN_KEY = [
 ]
 # What a domain summary shows of its busiest row.
 REPRESENTATIVE = [c for c in DIMENSIONS if c not in ("clientName", "domain", "resourceType")]
+USER_KEY = ["clientName", "userName", "domain", "clientIp"]
 RESOURCE = ["resolver", "inNet", "error", "resourceType", "resourceName", "resourceProps"]
 
 
@@ -54,14 +55,9 @@ def running_day_totals(hourly: DataFrame) -> DataFrame:
     return hourly.withColumns({c: F.sum(c).over(so_far) for c in COUNTERS})
 
 
-def active_day_totals(detail: DataFrame, begin: int, end: int) -> DataFrame:
-    """Day totals restricted to the keys with a row in ``[begin, end)``: what one hourly run emits."""
-    seen = detail.where((F.col("accesstime") >= begin) & (F.col("accesstime") < end)).select(
-        bucket_day(F.col("accesstime")).alias("accesstime"), *DIMENSIONS
-    )
-    upto = detail.where(F.col("accesstime") < end)
-    active = seen.withColumn("key", dated_key(F.col("accesstime"), *DIMENSIONS)).select("key")
-    return day_totals(upto).join(active, "key", "left_semi")
+def merge_hours(hourly: DataFrame) -> DataFrame:
+    """Day totals from hour totals: at most 24 rows a key."""
+    return hourly.groupBy("accesstime", *DIMENSIONS, "key").agg(*_sums())
 
 
 def domain_types(day: DataFrame, per_client: bool = False, time: Sequence[str] = ("accesstime",)) -> DataFrame:
@@ -131,7 +127,7 @@ def user_day(user_rows: DataFrame) -> DataFrame:
     A contact that changes during the day does not split a total: phone and address are those of the latest interval.
     """
     daily = user_rows.withColumn("_at", F.col("accesstime")).withColumn("accesstime", bucket_day(F.col("accesstime")))
-    keys = ["clientName", "userName", "domain", "clientIp"]
+    keys = USER_KEY
     contact = F.struct("phone", "address")
     summed = (
         daily.groupBy("accesstime", *keys)

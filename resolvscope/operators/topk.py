@@ -11,8 +11,9 @@ from ..functions import authority_domain
 from .counts import ALL_CLIENTS
 from .enrich import Lookups, with_contact, with_innet, with_online_user
 
-# Parts of a group that are ranked before the group as a whole, round by round.
-SALTS = (128, 8)
+# Parts of a group that are ranked before the group as a whole, round by round. Each map task first cuts its rows to k in a
+# part, so one round bounds what the last one sees, and a second would only shuffle again.
+SALTS = (32,)
 
 # Default sizes.
 DOMAINS_PER_CODE = 5000
@@ -28,8 +29,8 @@ def top_k(
 ) -> DataFrame:
     """The first ``k`` rows of each group. ``order`` must be total.
 
-    The list is found in rounds, first within many salted parts of a group, then within few, at last in the group, which by
-    then has at most ``8 k`` rows. No task ever sorts a whole hot group.
+    The list is found first within salted parts of a group, then in the group, which by then has at most ``32 k`` rows. No
+    task ever sorts a whole hot group, and rows that are in no part's list are shuffled at most once.
     """
     name = rank or "_rank"
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])

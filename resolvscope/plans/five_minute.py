@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Collection, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -15,6 +16,7 @@ from ..functions.times import FIVE_MINUTES
 from ..operators import counts, detail, topk
 from ..operators.clean import clean_log
 from ..operators.enrich import Lookups, enriched_log, with_client, with_place
+from ..sinks.ledger import Ledger
 from ..sinks.tables import append_interval, write_user_domains
 from ..sources.logs import read_slots
 
@@ -131,13 +133,24 @@ def persisting() -> Iterator[Keep]:
 
 
 def run(log: DataFrame, lookups: Lookups, root: str, sizes: Sizes = Sizes()) -> list[str]:
-    """Write every report table of the intervals in ``log`` under ``root``; returns their names.
+    """Write every report table of the intervals in ``log`` under ``root`` and commit them; returns the tables' names.
 
-    The same call backfills any range: intervals are a grouping column, not a loop.
+    The same call backfills any range: intervals are a grouping column, not a loop. A run that broke off writes what is
+    missing when it is called again; one that was committed is written anew.
     """
     with persisting() as keep:
         groups = keep(enrich_groups(interval_groups(log, sizes), lookups.prepare()))
-        return write_tables(all_tables(groups, lookups, sizes, keep), root)
+        intervals = interval_list(groups)
+        name = hashlib.sha256(repr(intervals).encode()).hexdigest()[:32]
+        ledger = Ledger(log.sparkSession, root, f"run-{name}")
+        if ledger.is_committed():
+            ledger.reopen()
+        return write_tables(all_tables(groups, lookups, sizes, keep), root, ledger, intervals)
+
+
+def interval_list(groups: DataFrame) -> list[int]:
+    """The intervals that rows belong to: 288 a day at most."""
+    return [r[0] for r in groups.select("accesstime").distinct().orderBy("accesstime").collect()]
 
 
 def run_interval(spark: SparkSession, source: str, end: int, lookups: Lookups, root: str, sizes: Sizes = Sizes()) -> list[str]:
@@ -147,18 +160,23 @@ def run_interval(spark: SparkSession, source: str, end: int, lookups: Lookups, r
     return run(log.where((at >= (end - sizes.seconds) * 1000) & (at < end * 1000)), lookups, root, sizes)
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, at_once: int = 4) -> list[str]:
-    """Write tables, a few at a time: each is small, so one alone leaves executors idle."""
+def write_tables(tables: dict[str, DataFrame], root: str, ledger: Ledger, intervals: list[int], at_once: int = 4) -> list[str]:
+    """Write the tables that the ledger has no mark for, a few at a time, and commit all; each is small, so one alone leaves executors idle."""
+    done = ledger.written()
 
     def write(name: str) -> str:
-        if name == "user_domain":
-            write_user_domains(tables[name], f"{root}/{name}")
-        else:
-            append_interval(tables[name], f"{root}/{name}")
+        if name not in done:
+            if name == "user_domain":
+                write_user_domains(tables[name], f"{root}/{name}")
+            else:
+                append_interval(tables[name], f"{root}/{name}")
+            ledger.mark(name)
         return name
 
     with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(write, tables))
+        names = list(pool.map(write, tables))
+    ledger.commit(names, intervals)
+    return names
 
 
 def backfill(log: DataFrame, begin: int, end: int, lookups: Lookups, sizes: Sizes = Sizes()) -> dict[str, DataFrame]:

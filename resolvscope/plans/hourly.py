@@ -3,33 +3,38 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import bucket_day
+from ..functions.times import HOUR, day_text
 from ..operators import daily
-from ..sinks.tables import upsert, with_day
+from ..sinks.tables import INTERVAL, append_report, upsert, with_day
 from ..sources.reports import read_report
 from .rollups import last_window
 
-DAY = 86_400
+HOURS = "detail_hour"
+
+
+def store_hours(spark: SparkSession, detail: str, root: str, begin: int, end: int) -> DataFrame:
+    """Sum the detail rows of ``[begin, end)``, whole hours, and put the sums in place of those stored for the hours."""
+    hours = daily.hour_totals(read_report(spark, detail, None, begin, end))
+    append_report(with_day(hours, "hour").withColumn("interval", F.col("hour")), f"{root}/{HOURS}", INTERVAL)
+    stored = spark.read.parquet(f"{root}/{HOURS}")
+    return stored.where((F.col("interval") >= begin) & (F.col("interval") < end))
 
 
 def run(spark: SparkSession, detail: str, root: str, begin: int, end: int) -> None:
-    """Upsert day totals of the keys, and summaries of the domains, that have a row in ``begin <= accesstime < end``.
+    """Upsert day totals of the keys, and summaries of the domains, that have a row in the whole hours of ``[begin, end)``.
 
-    Both are sums over the stored rows of the whole days touched, so running an hour again, or late, adds nothing twice and
-    never takes a total back.
+    The detail rows of these hours only are read. Their sums are stored by hour; a day's total merges the at most 24 stored
+    sums of a key, and a domain is nested again from the stored sums of its own keys. An hour that runs again, or late,
+    replaces its own sums, adds nothing twice and never takes a total back.
     """
-    low = begin - begin % DAY
-    high = end - 1 - (end - 1) % DAY + DAY
-    rows = read_report(spark, detail, None, low, high)
-    seen = rows.where((F.col("accesstime") >= begin) & (F.col("accesstime") < end))
-    domains = seen.select(bucket_day(F.col("accesstime")).alias("accesstime"), "domain").distinct()
+    begin, end = begin - begin % HOUR, end + -end % HOUR
+    seen = store_hours(spark, detail, root, begin, end).select("accesstime", "domain", "dt").distinct()
+    stored = spark.read.parquet(f"{root}/{HOURS}").where(F.col("dt").between(*_days(spark, begin, end - 1)))
     # A summary needs all keys of its domains; those of the hour are among them.
-    day = daily.day_totals(rows.join(domains.select("domain").distinct(), "domain", "left_semi")).join(
-        domains, ["accesstime", "domain"], "left_semi"
-    )
+    day = daily.merge_hours(stored.join(seen, ["accesstime", "domain", "dt"], "left_semi"))
     day = with_day(day.withColumn("updateTime", F.lit(end).cast("bigint"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         upsert(spark, day, f"{root}/detail_day", "key")
@@ -39,6 +44,10 @@ def run(spark: SparkSession, detail: str, root: str, begin: int, end: int) -> No
         day.unpersist()
 
 
+def _days(spark: SparkSession, *times: int) -> tuple[int, ...]:
+    return tuple(spark.range(1).select(*[day_text(F.lit(t)).cast("int") for t in times]).first())
+
+
 def run_last(spark: SparkSession, detail: str, root: str, now: int) -> None:
     """The hour before ``now``, as a schedule calls it."""
     run(spark, detail, root, *last_window(spark, "hh", now))

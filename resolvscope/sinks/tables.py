@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from .. import files
 from ..functions.times import day_text
-from ..session import work_path
 from ..sources.logs import FIELD
 
 
@@ -64,35 +65,57 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame
 def upsert(spark: SparkSession, rows: DataFrame, path: str, key: str, partitions: Sequence[str] = ("dt",)) -> None:
     """Merge rows into a partitioned table by key, rewriting only the partitions that receive rows.
 
-    The merged partitions go to a side table first, because a table cannot be overwritten while it is read; it is removed
-    after success. Rows must hold each key once; a key that comes twice raises and nothing is written.
+    The merged partitions are staged inside the table's folder, where readers do not look, and published by a swap: a note
+    names the staged folder, then partition after partition takes the old one's place. A run that breaks off before the
+    note leaves the old rows; one that breaks off after it is finished by the next upsert or by :func:`finish_swap`.
+    Rows must hold each key once; a key that comes twice raises and nothing is written.
     """
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         twice = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key).head()
         if twice is not None:
             raise ValueError(f"upsert: several rows have the key {twice[0]!r}")
-        if not _exists(spark, path):
-            append_report(rows, path, partitions)
-            return
-        touched = rows.select(*partitions).distinct()
-        existing = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
-        side = work_path(spark, "upsert")
-        merge_by_key(existing.select(*rows.columns), rows, key).write.partitionBy(*partitions).parquet(side)
-        append_report(spark.read.parquet(side).select(*rows.columns), path, partitions)
-        _remove(spark, side)
+        finish_swap(spark, path)
+        if any(not n.startswith(("_", ".")) for n in files.names(spark, path)):
+            touched = rows.select(*partitions).distinct()
+            existing = spark.read.parquet(path).join(touched, list(partitions), "left_semi")
+            rows_now = merge_by_key(existing.select(*rows.columns), rows, key)
+        else:
+            rows_now = rows
+        staged = f"_staged-{uuid.uuid4().hex}"
+        rows_now.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(f"{path}/{staged}")
+        files.publish_text(spark, f"{path}/{SWAP}", staged)
+        finish_swap(spark, path)
     finally:
         rows.unpersist()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+# Names the staged folder whose partitions replace the table's.
+SWAP = "_swap"
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Put what a merge has staged in place, if its note is there. What is staged is still to be moved, so this can run again."""
+    staged = files.read_text(spark, f"{path}/{SWAP}")
+    if staged is None:
+        return
+    for part in _partition_folders(spark, f"{path}/{staged}"):
+        files.remove(spark, f"{path}/{part}")
+        if not files.rename(spark, f"{path}/{staged}/{part}", f"{path}/{part}"):
+            raise OSError(f"cannot move {staged}/{part} into {path}")
+    files.remove(spark, f"{path}/{SWAP}")
+    files.remove(spark, f"{path}/{staged}")
+    spark.catalog.refreshByPath(path)
+
+
+def _partition_folders(spark: SparkSession, folder: str, above: str = "") -> list[str]:
+    """The innermost ``column=value`` folders."""
+    found = []
+    for name in files.names(spark, f"{folder}/{above}" if above else folder):
+        if "=" in name and not name.startswith((".", "_")):
+            inner = f"{above}/{name}" if above else name
+            found += _partition_folders(spark, folder, inner) or [inner]
+    return found
 
 
 def _line() -> Column:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from resolvscope import fixtures as fx
 from resolvscope.catalog.queries import SIZES, lookups
+from resolvscope.operators.daily import user_day
 from resolvscope.plans import daily, five_minute, hourly, nat, profiles, rollups
+from resolvscope.sinks import ledger
 from resolvscope.sources.logs import parse_nat_lines, read_user_domains, slot_paths, stream_dns_json
 from resolvscope.streaming import reports as stream
 
@@ -108,10 +110,10 @@ def test_day_job_is_repeatable(spark, written, tmp_path):
     root, _ = written
     detail = spark.read.parquet(f"{root}/detail")
     target, state = str(tmp_path / "day"), str(tmp_path / "innet")
-    daily.run(spark, detail, target, state)
+    daily.run(spark, detail, target, state, 1)
     first = {n: rows_of(spark.read.parquet(f"{target}/{n}"), "key", "resolver") for n in ("detail_day", "domain_day")}
     known = rows_of(spark.read.parquet(state))
-    daily.run(spark, detail, target, state)
+    daily.run(spark, detail, target, state, 1)
     for name, rows in first.items():
         assert rows_of(spark.read.parquet(f"{target}/{name}"), "key", "resolver") == rows
     assert rows_of(spark.read.parquet(state)) == known and known
@@ -145,7 +147,7 @@ def test_hourly_job_meets_the_day_job_and_is_repeatable(spark, written, tmp_path
     rows = spark.read.parquet(detail)
     hours = [r[0] for r in rows.select((F.col("accesstime") - F.col("accesstime") % 3600).alias("h")).distinct().orderBy("h").limit(3).collect()]
     whole, hour = str(tmp_path / "whole"), str(tmp_path / "hour")
-    daily.run(spark, rows, whole, str(tmp_path / "innet"))
+    daily.run(spark, rows, whole, str(tmp_path / "innet"), 1)
     for begin in [*hours, hours[0]]:
         hourly.run(spark, detail, hour, begin, begin + 3600)
     for name in ("detail_day", "domain_day"):
@@ -155,6 +157,75 @@ def test_hourly_job_meets_the_day_job_and_is_repeatable(spark, written, tmp_path
     assert spark.read.parquet(f"{hour}/domain_day").select("domain").distinct().count() >= touched
 
 
+def test_hourly_job_reads_the_detail_of_its_hour_only(spark, written, tmp_path):
+    root, _ = written
+    detail = f"{root}/detail"
+    first = spark.read.parquet(detail).agg(F.min("accesstime")).first()[0]
+    begin, target = first - first % 3600, str(tmp_path / "h")
+    rows = hourly.read_report(spark, detail, None, begin, begin + 3600)
+    assert {r[0] for r in rows.select("accesstime").distinct().collect()} == {first}
+    assert "PartitionFilters: [isnotnull(dt" in rows._jdf.queryExecution().executedPlan().toString()
+    hourly.run(spark, detail, target, begin, begin + 3600)
+    stored = spark.read.parquet(f"{target}/{hourly.HOURS}")
+    assert {r[0] for r in stored.select("hour").distinct().collect()} == {begin}
+    # The day's totals come from the stored hours: doubling one of another hour shows.
+    other = stored.withColumn("hour", F.lit(begin + 3600)).withColumn("interval", F.lit(begin + 3600))
+    other.write.mode("append").partitionBy("dt", "interval").parquet(f"{target}/{hourly.HOURS}")
+    before = dict(rows_of(spark.read.parquet(f"{target}/detail_day"), "key", "resolver"))
+    hourly.run(spark, detail, target, begin, begin + 3600)
+    assert dict(rows_of(spark.read.parquet(f"{target}/detail_day"), "key", "resolver")) == {k: 2 * v for k, v in before.items()}
+
+
+def test_a_batch_that_broke_off_is_finished_and_counts_as_one(spark, folder, log, written, tmp_path, monkeypatch):
+    root, names = written
+    target, look = str(tmp_path / "out"), lookups(spark, folder)
+    closed = five_minute.interval_groups(log, SIZES)
+    done = []
+    store = five_minute.append_interval
+
+    def failing(rows, path):
+        if len(done) >= 7:
+            raise OSError("the disk is gone")
+        store(rows, path)
+        done.append(path)
+
+    write = stream.report_writer(target, look, SIZES, user_day=f"{target}/user_day")
+    with monkeypatch.context() as patch:
+        patch.setattr(five_minute, "append_interval", failing)
+        with pytest.raises(OSError, match="gone"):
+            write(closed, 4)
+    assert ledger.committed_intervals(spark, target, "qps").count() == 0 < len(done)
+    again = []
+    monkeypatch.setattr(five_minute, "append_interval", lambda rows, path: (again.append(path), store(rows, path)))
+    write(closed, 4)
+    assert not set(done) & set(again) and len(done) + len(again) == len(names) - 1
+    write(closed, 4)
+    assert len(done) + len(again) == len(names) - 1
+    for name in set(names) - {"user_domain"}:
+        assert rows_of(ledger.read_committed(spark, target, name).drop("dt", "interval")) == rows_of(spark.read.parquet(f"{root}/{name}").drop("dt", "interval")), name
+    text = ledger.read_committed(spark, target, "user_domain", text=True)
+    assert rows_of(text, "value") == rows_of(spark.read.text(f"{root}/user_domain"), "value")
+    # The days' totals, merged in the flow, after a replay as well.
+    wanted = rows_of(user_day(spark.read.parquet(f"{root}/user_rows")), "key", "number", "error", "inNet", "phone")
+    assert rows_of(spark.read.parquet(f"{target}/user_day"), "key", "number", "error", "inNet", "phone") == wanted
+
+
+def test_user_days_grow_interval_by_interval(spark, written, tmp_path):
+    root, _ = written
+    rows = spark.read.parquet(f"{root}/user_rows").drop("dt", "interval")
+    # Two intervals of one day.
+    first = rows.agg(F.min("accesstime")).first()[0]
+    one = rows.where(F.col("accesstime") == first)
+    two = one.withColumns({"accesstime": F.lit(first + 300), "number": F.col("number") * 3})
+    target = str(tmp_path / "flow")
+    for batch, part in ((0, one), (1, two), (1, two), (0, one)):
+        at = five_minute.interval_list(part)
+        five_minute.write_tables({"user_rows": part}, target, ledger.Ledger(spark, target, f"b{batch}"), at)
+        daily.merge_user_days(spark, target, f"{target}/user_day", at)
+    wanted = rows_of(user_day(one.unionByName(two)), "key", "number", "phone")
+    assert rows_of(spark.read.parquet(f"{target}/user_day"), "key", "number", "phone") == wanted
+
+
 def test_nat_jobs_are_repeatable(spark, folder, tmp_path):
     flow = fx.nat_flow(spark, folder)
     root = str(tmp_path / "nat")

@@ -140,10 +140,8 @@ def test_running_totals_and_active_keys(spark):
     detail_rows = day_rows(spark, (10, "a", 1, "t", "x", 5), (3700, "a", 1, "t", "x", 2), (3800, "b", 1, "t", "x", 1))
     running = daily.running_day_totals(daily.hour_totals(detail_rows))
     assert rows_of(running, "hour", "domain", "resolver") == [(0, "a", 5), (3600, "a", 7), (3600, "b", 1)]
-    active = daily.active_day_totals(detail_rows, 3600, 7200)
-    assert rows_of(active, "domain", "resolver") == [("a", 7), ("b", 1)]
-    early = daily.active_day_totals(detail_rows, 0, 3600)
-    assert rows_of(early, "domain", "resolver") == [("a", 5)]
+    hours = daily.hour_totals(detail_rows)
+    assert rows_of(daily.merge_hours(hours), "key", "resolver") == rows_of(daily.day_totals(detail_rows), "key", "resolver")
 
 
 def test_nat_counts_equal_counts_once(spark):

@@ -30,6 +30,35 @@ def test_upsert_replaces_keys_and_leaves_other_days(spark, tmp_path):
     assert rows_of(spark.read.parquet(path), "key", "number") == [("a", 1), ("b", 2), ("c", 1), ("d", 2)]
 
 
+@pytest.mark.parametrize("moves", [0, 1])
+def test_upsert_that_breaks_off_keeps_old_or_new_rows(spark, tmp_path, monkeypatch, moves):
+    """It fails before the note, or after the note with some partitions moved; the next merge goes on from there."""
+    path = str(tmp_path / "t")
+    old = [(10, "a", 1), (90000, "c", 1)]
+    tables.upsert(spark, tables.with_day(report(spark, *old)), path, "key")
+    real, moved = tables.files.rename, []
+
+    def rename(session, source, target):
+        if len(moved) >= moves + (moves > 0):
+            raise OSError("broke off")
+        moved.append(target)
+        return real(session, source, target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.files, "rename", rename)
+        with pytest.raises(OSError, match="broke off"):
+            tables.upsert(spark, tables.with_day(report(spark, (20, "a", 2), (90001, "d", 2))), path, "key")
+    if moves:
+        tables.finish_swap(spark, path)
+        want = [("a", 2), ("c", 1), ("d", 2)]
+    else:
+        want = [("a", 1), ("c", 1)]
+    spark.catalog.refreshByPath(path)
+    assert rows_of(spark.read.parquet(path), "key", "number") == want
+    tables.upsert(spark, tables.with_day(report(spark, (30, "e", 5))), path, "key")
+    assert rows_of(spark.read.parquet(path), "key", "number") == sorted([*want, ("e", 5)], key=repr)
+
+
 def test_insert_if_absent(spark):
     old = spark.createDataFrame([("a", 1)], "domain string, counts int")
     new = spark.createDataFrame([("a", 9), ("b", 9)], "domain string, counts int")

@@ -10,7 +10,7 @@ from resolvscope.operators import topk
 
 
 @pytest.mark.parametrize("k", [3, 40])
-@pytest.mark.parametrize("salts", [topk.SALTS, (5,), ()])
+@pytest.mark.parametrize("salts", [topk.SALTS, (128, 8), ()])
 def test_top_k_equals_sorting(spark, k, salts):
     rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.8 else f"g{rng.randrange(5)}", f"d{i}", rng.randrange(9)) for i in range(700)]
@@ -28,6 +28,12 @@ def test_short_lists_are_cut_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2
 
 
+def test_two_shuffles_after_the_sum(spark):
+    rows = spark.range(1000).selectExpr("id % 7 as accesstime", "id % 3 as responseCode", "cast(id as string) as domain", "id as resolver")
+    plan = topk.top_domains(rows, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 3
+
+
 def test_rank_is_kept_on_request(spark):
     frame = spark.createDataFrame([("a", "x", 5), ("a", "y", 7)], "g string, domain string, number bigint")
     got = topk.top_k(frame, ["g"], topk.by_number("domain"), 2, rank="_rank")
