@@ -33,8 +33,12 @@ def sources_of(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int =
 
     Targets share the total size by weight; a target stops at ``cap`` times its source's size and the excess goes to the
     others by weight. Sources in order of how much of their cap a unit of weight fills are capped as long as the level
-    that is left reaches their cap. ``quota`` is the target in blocks.
+    that is left reaches their cap. ``quota`` is the target in blocks: all blocks as often as the target holds the whole
+    source, the short last one too, and for what is left the nearest number of blocks of mean length.
     """
+    whole = F.floor(F.col("target") / F.col("source_size"))
+    rest = F.col("target") - whole * F.col("source_size")
+    quota = whole * F.col("blocks") + F.round(rest * F.col("blocks") / F.col("source_size")).cast("long")
     summed = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     place = F.row_number().over(by_name) - 1
@@ -56,7 +60,7 @@ def sources_of(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int =
     return (
         capped.withColumn("target", F.when(F.col("capped"), (cap * F.col("source_size")).cast("double")).otherwise(first * F.col("weight")))
         .withColumn("blocks", F.ceil(F.col("source_size") / block))
-        .withColumn("quota", F.round(F.col("target") / block).cast("long"))
+        .withColumn("quota", F.when(F.col("source_size") > 0, quota).otherwise(F.lit(0).cast("long")))
         .select("rank", "source", "source_size", "weight", "target", "blocks", "quota")
     )
 
@@ -113,7 +117,10 @@ def draw(sources: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFram
         .withColumn("from", F.explode(F.expr(f"sequence(low, high - 1, {SLOTS}L)")))
         .select("rank", "blocks", "shard", F.col("from").alias("low"), F.least(F.col("from") + SLOTS, "high").alias("high"))
     )
-    return pieces.repartition("rank", "shard", "low").mapInPandas(place, "rank int, block long, shard int, epoch int")
+    # The pieces are few rows that stand for many, so their size tells Spark nothing: the number of tasks follows the slots.
+    slots = sources.agg(F.sum("quota")).first()[0] or 0
+    tasks = max(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-slots // (16 * SLOTS)))
+    return pieces.repartition(tasks, "rank", "shard", "low").mapInPandas(place, "rank int, block long, shard int, epoch int")
 
 
 def mix(documents: DataFrame, kept: list[str], block: int = BLOCK, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:

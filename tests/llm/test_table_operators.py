@@ -197,6 +197,22 @@ def _sum_taken(rows):
     return +out
 
 
+def test_small_sources_meet_their_targets(documents_of):
+    sizes = {"a": 10, "b": 9, "c": 65, "d": 5000, "e": 0}
+    docs = documents_of([(i, " ".join(["w"] * n), s) for i, (s, n) in enumerate(sizes.items())])
+    got = {r.source_size: r.taken for r in mixing.summarise(*mixing.mix(docs, ["doc_id"])).collect()}
+    want = targets(sizes)
+    assert [got[10], got[9], got[65], got[0]] == [30, 27, 195, 0] == [round(want[s]) for s in "abce"]
+    assert abs(got[5000] - want["d"]) <= 64
+
+
+def test_the_draw_is_made_by_many_tasks(spark, documents_of):
+    docs = documents_of([(i, "w " * 300, "ab"[i % 2]) for i in range(40)])
+    sources = mixing.sources_of(docs.select("source", F.lit(10**6).cast("long").alias("size")))
+    drawn = mixing.draw(sources)
+    assert drawn.rdd.getNumPartitions() >= 4 and drawn.count() == sources.agg(F.sum("quota")).first()[0]
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 64, 1000])
 def test_permutation_is_one(size):
     assert sorted(mixing.permuted(np.arange(size), size, 5)) == list(range(size))
