@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
+@lru_cache(maxsize=4)
+def _path_class(jvm):
+    """Looked up once: each part of a class's name is a call to the JVM."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _at(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place = _path_class(spark._jvm)(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 

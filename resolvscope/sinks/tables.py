@@ -108,16 +108,18 @@ def finish_swap(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def _partition_folders(spark: SparkSession, folder: str, above: str = "") -> list[str]:
-    """The innermost ``column=value`` folders."""
-    found = []
-    for name in files.names(spark, f"{folder}/{above}" if above else folder):
-        if "=" in name and not name.startswith((".", "_")):
-            inner = f"{above}/{name}" if above else name
-            found += _partition_folders(spark, folder, inner) or [inner]
+def _partition_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The innermost ``column=value`` folders. All lie equally deep, so one of each level tells whether there is a next."""
+    found = _partition_names(spark, folder)
+    while found and (_partition_names(spark, f"{folder}/{found[0]}")):
+        found = [f"{above}/{name}" for above in found for name in _partition_names(spark, f"{folder}/{above}")]
     return found
 
 
+def _partition_names(spark: SparkSession, folder: str) -> list[str]:
+    return [n for n in files.names(spark, folder) if "=" in n and not n.startswith((".", "_"))]
+
+
 def _line() -> Column:
     return F.concat_ws(FIELD, "userName", "domain", F.col("resolver").cast("string"))
 
