@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from resolvscope.llm.components import spread_join
 from resolvscope.llm.text import WORD, put, unused
+from resolvscope.session import work_path
 
 WINDOW = 10
-# Bytes of item texts that one automaton holds. A larger benchmark is cut into parts, each of which scans the documents.
+# Bytes of item texts that one automaton holds. A larger benchmark is cut into parts, one pass over the texts for each.
 PART_BYTES = 8 << 20
 # What lower-cases A-Z and turns every separator into a blank, on UTF-8 bytes.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -71,50 +74,88 @@ def scan_text(text: str | None, made: ahocorasick.Automaton | None) -> tuple[int
     return len(words), int(hit.sum()), sorted({n for f in found for n in f[2]}), spans
 
 
-def _parts(benchmark: DataFrame, part_bytes: int) -> list[list[tuple[str, str | None]]]:
-    """Item texts in parts of a bounded size; one part at a time is held."""
+def _items(benchmark: DataFrame, part_bytes: int) -> tuple[DataFrame, int]:
+    """Ids and texts of the items, and the number of parts of about ``part_bytes`` that they make."""
     chosen = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").where(F.col("text").isNotNull())
     total = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(total / part_bytes))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[tuple(r) for r in chosen.where(part == i).collect()] for i in range(n)]
+    return chosen, max(1, math.ceil(total / part_bytes))
+
+
+def _part(chosen: DataFrame, parts: int, at: int) -> list[tuple[str, str | None]]:
+    return [tuple(r) for r in chosen.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == at).collect()]
+
+
+def _scanner(shared: Broadcast, window: int) -> Callable[[str], Column]:
+    @F.pandas_udf(SCHEMA)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        made = automaton(shared.value, window)
+        for texts in batches:
+            rows = [scan_text(t, made) for t in texts]
+            out = [(n, hit, items, [{"start": a, "end": b} for a, b in spans]) for n, hit, items, spans in rows]
+            yield pd.DataFrame(out, columns=["n_words", "n_hit", "items", "spans"])
+
+    return run
 
 
 def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, name: str = "leaks", part_bytes: int = PART_BYTES) -> DataFrame:
     """The documents with a struct column ``name``: n_words, n_hit, items (ids as sorted strings) and spans in the text.
 
     Texts are lower-cased (A-Z) and every separator becomes one blank; the automaton runs over that line once, and its ends
-    are mapped back to words and to offsets of the original. A benchmark up to ``part_bytes`` is one broadcast automaton; a
-    larger one is cut into parts, every part scans the texts, and hits are united, so nothing is left out.
+    are mapped back to words and to offsets of the original. A benchmark up to ``part_bytes`` is one broadcast automaton. A
+    larger one is cut into parts by a hash of the items: each part has a pass over the texts, in which the driver and the
+    workers hold that part alone (about ``part_bytes``; an item larger than that is a part as large as itself), and its hits
+    go to a table by text. The hits of all parts are then united by text, so nothing is left out.
 
     Null and empty texts have no words and no hits; items without words never hit; repeated items and ids count once; a null
     item id is called "null". An input column called ``name`` is replaced, all others are kept.
     """
+    chosen, parts = _items(benchmark, part_bytes)
+    context = documents.sparkSession.sparkContext
+    if parts == 1:
+        return put(documents, name, _scanner(context.broadcast(_part(chosen, 1, 0)), window)("text"))
+    return _united(documents, _hits_by_part(documents, chosen, parts, window), name)
+
+
+def _hits_by_part(documents: DataFrame, chosen: DataFrame, parts: int, window: int) -> DataFrame:
+    """(text_key, items, starts, ends) of each distinct text with hits, of all parts of the benchmark."""
     spark = documents.sparkSession
-    shared = [spark.sparkContext.broadcast(part) for part in _parts(benchmark, part_bytes)]
+    folder = work_path(spark, "leaks")
+    texts = documents.select(F.sha2("text", 256).alias("text_key"), "text").where(F.col("text").isNotNull())
+    for at in range(parts):
+        shared = spark.sparkContext.broadcast(_part(chosen, parts, at))
+        hits = texts.select("text_key", _scanner(shared, window)("text").alias("hit")).where("hit.n_hit > 0")
+        hits.select("text_key", "hit.items", "hit.spans").dropDuplicates(["text_key"]).write.parquet(f"{folder}/part={at}")
+        shared.destroy()
+    schema = "text_key string, items array<string>, spans array<struct<start:int,end:int>>"
+    found = spark.read.schema(schema).parquet(*[f"{folder}/part={at}" for at in range(parts)])
+    spans = F.flatten(F.collect_list("spans"))
+    return found.groupBy("text_key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.transform(spans, lambda s: s["start"]).alias("starts"),
+        F.transform(spans, lambda s: s["end"]).alias("ends"),
+    )
+
+
+def _united(documents: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """The documents with the hits of their texts; stretches of several parts that overlap are one."""
 
     @F.pandas_udf(SCHEMA)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        made = [automaton(s.value, window) for s in shared]
-        for texts in batches:
-            rows = [_united([scan_text(t, m) for m in made], t) for t in texts]
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
-
-    return put(documents, name, run("text"))
-
-
-def _united(found: list[tuple], text: str | None) -> tuple:
-    if len(found) == 1:
-        words, n_hit, items, spans = found[0]
-        return words, n_hit, items, [{"start": a, "end": b} for a, b in spans]
-    merged: list[list[int]] = []
-    for a, b in sorted(s for f in found for s in f[3]):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    n_hit = sum(len(normal_words(text[a:b])) for a, b in merged)
-    return found[0][0], n_hit, sorted({i for f in found for i in f[2]}), [{"start": a, "end": b} for a, b in merged]
+    def run(texts: pd.Series, items: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, ids, low, high in zip(texts, items, starts, ends, strict=True):
+            merged: list[list[int]] = []
+            for a, b in sorted(zip(low, high, strict=True)) if low is not None else []:
+                if merged and a <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], int(b))
+                else:
+                    merged.append([int(a), int(b)])
+            n_hit = sum(len(normal_words(text[a:b])) for a, b in merged)
+            rows.append((len(normal_words(text)), n_hit, [] if ids is None else list(ids), [{"start": a, "end": b} for a, b in merged]))
+        return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
+
+    key, items, starts, ends = (unused(documents, c) for c in ("text_key", "hit_items", "hit_starts", "hit_ends"))
+    met = spread_join(documents.withColumn(key, F.sha2("text", 256)), found.toDF(key, items, starts, ends), key, "left")
+    return put(met, name, run("text", items, starts, ends)).drop(key, items, starts, ends)
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

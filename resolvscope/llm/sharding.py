@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from resolvscope import files
+from resolvscope.llm.components import _kept
 from resolvscope.llm.text import digest
 from resolvscope.session import work_path
 
@@ -68,18 +70,64 @@ def rebalanced_map(current: DataFrame, shards: int) -> DataFrame:
     return current.select((F.col("version") + 1).alias("version"), "virtual_slot", F.when(moved, F.lit(shards)).otherwise(F.col("shard")).alias("shard"), "bytes")
 
 
+def _version_path(folder: str, version: int) -> str:
+    return f"{folder}/map/version={version}"
+
+
+def newest_version(spark: SparkSession, folder: str) -> int:
+    """The newest version of the map whose write has ended, 0 if there is none."""
+    held = [int(n.split("=")[1]) for n in files.names(spark, f"{folder}/map") if n.startswith("version=")]
+    return max((v for v in held if files.exists(spark, f"{_version_path(folder, v)}/_SUCCESS")), default=0)
+
+
+def read_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
+    """(version, virtual_slot, shard, bytes) of one version."""
+    return spark.read.parquet(_version_path(folder, version)).select(F.lit(version).alias("version"), "virtual_slot", "shard", "bytes")
+
+
+def write_map(slot_map: DataFrame, folder: str, version: int) -> int:
+    """Store a version; what a writer that broke off has left of it is replaced."""
+    slot_map.select("virtual_slot", "shard", "bytes").write.mode("overwrite").parquet(_version_path(folder, version))
+    return version
+
+
+def rebalance(documents: DataFrame, folder: str) -> DataFrame:
+    """Grow the newest map in ``folder`` by one shard for the documents as they are now, and apply it to them.
+
+    The loads of the slots are taken anew, the edited map is stored as the next version, and :func:`assign` places the
+    records by it: a record changes its shard only if its slot goes to the new one. Older versions stay. A folder without a
+    map raises. Nulls, repeated rows and an empty table are as in :func:`assign`.
+    """
+    spark = documents.sparkSession
+    version = newest_version(spark, folder)
+    if not version:
+        raise ValueError(f"no slot map in {folder}")
+    current = read_map(spark, folder, version)
+    slots, last = current.agg(F.count(F.lit(1)), F.max("shard")).first()
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long")
+    loads = slot_loads(documents.select(slot_of(slots).alias("virtual_slot"), size.alias("size")))
+    now = current.drop("bytes").join(loads.select("virtual_slot", "bytes"), "virtual_slot", "left").fillna(0, ["bytes"])
+    write_map(rebalanced_map(now, last + 1), folder, version + 1)
+    return assign(documents, folder=folder)
+
+
 def assign(documents: DataFrame, shards: int = 40, slots: int = SLOTS, folder: str | None = None) -> DataFrame:
     """The documents with ``size``, ``text_crc32``, ``virtual_slot``, ``shard`` and ``slot`` (place in the shard, gapless from 0).
 
     The law is near-equal bytes. Sizes are UTF-8 bytes plus 16. The slot-to-shard map is stored as a Parquet table with a
-    version under ``folder`` (a fresh one in the shared folder if none is named); ``rebalanced_map`` edits it. Places are
-    counted in small parts of a slot and shifted by the rows of the parts before, so no task numbers a whole shard.
+    version under ``folder`` (a fresh one in the shared folder if none is named). Where the folder holds a map, its newest
+    version is applied, and its shards and slots count; else version 1 is made for ``shards``. :func:`rebalance` edits it.
+    Places are counted in small parts of a slot and shifted by the rows of the parts before, so no task numbers a whole shard.
 
     Null texts count as empty, ids may be null or repeat; such rows are told apart by their text, and rows that are equal
     in both share a slot. A document larger than a fair share makes its shard that much larger. An empty table gives none.
     Input columns of the names added here are replaced, all others are kept.
     """
     spark = documents.sparkSession
+    folder = folder or work_path(spark, "slot-map")
+    version = newest_version(spark, folder)
+    if version:
+        slots = read_map(spark, folder, version).count()
     added = ["size", "text_crc32", "virtual_slot", "shard", "slot"]
     kept = [c for c in documents.columns if c.lower() not in added]
     packed = documents.select(
@@ -89,13 +137,12 @@ def assign(documents: DataFrame, shards: int = 40, slots: int = SLOTS, folder: s
         slot_of(slots).alias("virtual_slot"),
         F.pmod(digest(F.coalesce("text", F.lit(""))), F.lit(PARTS)).cast("int").alias("part"),
     )
-    folder = folder or work_path(spark, "slot-map")
     parts = packed.groupBy("virtual_slot", "part").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    parts.write.parquet(f"{folder}/loads")
-    parts = spark.read.parquet(f"{folder}/loads")
-    loads = parts.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
-    balanced_map(loads, shards, slots).drop("version").write.parquet(f"{folder}/map/version=1")
-    slot_map = spark.read.parquet(f"{folder}/map").where("version = 1")
+    parts = _kept(parts, "slot-loads")
+    if not version:
+        loads = parts.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.sum("rows").alias("rows"))
+        version = write_map(balanced_map(loads, shards, slots), folder, 1)
+    slot_map = read_map(spark, folder, version)
     # Slots times parts bounds this table.
     before = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -110,6 +110,31 @@ def test_rebalancing_moves_slots_only_to_the_new_shard(spark):
     assert min(by_shard.values()) > 0.8 * max(by_shard.values())
 
 
+def test_rebalancing_moves_records_by_the_next_version(spark, documents_of, tmp_path):
+    """The map grows by a version; records go to the new shard or stay. What a broken write left does not count."""
+    folder = str(tmp_path / "map")
+    docs = documents_of([(i, "word " * (i % 50)) for i in range(1, 2500)] + [(None, None), (7, "more")])
+    with pytest.raises(ValueError, match="no slot map"):
+        sharding.rebalance(docs, folder)
+    first = {(r.doc_id, r.text): r for r in sharding.assign(docs, 5, 512, folder).collect()}
+    again = {(r.doc_id, r.text): r for r in sharding.assign(docs, 5, 512, folder).collect()}
+    assert sharding.newest_version(spark, folder) == 1 and {k: r.shard for k, r in again.items()} == {k: r.shard for k, r in first.items()}
+    (tmp_path / "map" / "map" / "version=2").mkdir()
+    assert sharding.newest_version(spark, folder) == 1
+    grown = sharding.rebalance(docs, folder).collect()
+    assert sharding.newest_version(spark, folder) == 2 and len(grown) == docs.count()
+    moved = [r for r in grown if first[r.doc_id, r.text].shard != r.shard]
+    assert {r.shard for r in moved} == {5} and {r.shard for r in grown} == set(range(6))
+    assert len(moved) == sum(r.shard == 5 for r in grown)
+    loads = Counter()
+    for r in grown:
+        loads[r.shard] += r.size
+    assert min(loads.values()) > 0.8 * max(loads.values())
+    for shard in range(6):
+        assert sorted(r.slot for r in grown if r.shard == shard) == list(range(sum(r.shard == shard for r in grown)))
+    assert {r.shard for r in sharding.assign(docs, 40, folder=folder).collect()} == set(range(6))
+
+
 def chat_digests(turns):
     all_turns, loss = hashlib.sha256(), hashlib.sha256()
     for role, text in turns:
