@@ -23,12 +23,13 @@ def store_hours(spark: SparkSession, detail: str, root: str, begin: int, end: in
     return stored.where((F.col("interval") >= begin) & (F.col("interval") < end))
 
 
-def run(spark: SparkSession, detail: str, root: str, begin: int, end: int) -> None:
+def run(spark: SparkSession, detail: str, root: str, begin: int, end: int, buckets: int = 1) -> None:
     """Upsert day totals of the keys, and summaries of the domains, that have a row in the whole hours of ``[begin, end)``.
 
     The detail rows of these hours only are read. Their sums are stored by hour; a day's total merges the at most 24 stored
     sums of a key, and a domain is nested again from the stored sums of its own keys. An hour that runs again, or late,
-    replaces its own sums, adds nothing twice and never takes a total back.
+    replaces its own sums, adds nothing twice and never takes a total back. ``buckets`` cuts the days of both tables by key
+    (:func:`upsert`), so that an hour of few keys rewrites a part of its day.
     """
     begin, end = begin - begin % HOUR, end + -end % HOUR
     seen = store_hours(spark, detail, root, begin, end).select("accesstime", "domain", "dt").distinct()
@@ -37,9 +38,9 @@ def run(spark: SparkSession, detail: str, root: str, begin: int, end: int) -> No
     day = daily.merge_hours(stored.join(seen, ["accesstime", "domain", "dt"], "left_semi"))
     day = with_day(day.withColumn("updateTime", F.lit(end).cast("bigint"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        upsert(spark, day, f"{root}/detail_day", "key")
+        upsert(spark, day, f"{root}/detail_day", "key", buckets=buckets)
         nested = daily.nested_domains(day).unionByName(daily.nested_domains(day, per_client=True))
-        upsert(spark, with_day(nested.withColumn("updateTime", F.lit(end).cast("bigint"))), f"{root}/domain_day", "key")
+        upsert(spark, with_day(nested.withColumn("updateTime", F.lit(end).cast("bigint"))), f"{root}/domain_day", "key", buckets=buckets)
     finally:
         day.unpersist()
 

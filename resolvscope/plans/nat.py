@@ -6,20 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import nat
-from ..sinks.tables import INTERVAL, append_report, upsert, with_day
+from ..sinks.tables import INTERVAL, append_report, touched_partitions, upsert, with_day
+from .five_minute import persisting
 
 
-def run_hours(spark: SparkSession, flow: DataFrame, root: str, dedupe: bool = True) -> None:
+def run_hours(spark: SparkSession, flow: DataFrame, root: str, dedupe: bool = True, buckets: int = 1) -> None:
     """Store the hours in ``flow``, which must be whole, and upsert the totals of their days.
 
     Totals are sums over the stored hours, not increments: an hour that is run again replaces its own rows.
     """
-    hourly = nat.nat_hour(flow, dedupe)
-    append_report(with_day(hourly, "hour").withColumn("interval", F.col("hour")), f"{root}/nat_hour", INTERVAL)
-    stored = spark.read.parquet(f"{root}/nat_hour")
-    days = with_day(hourly, "hour").select("dt").distinct()
-    totals = stored.join(days, "dt", "left_semi").groupBy("key", "accesstime", "types", "data", "dt").agg(F.sum("count").alias("count"))
-    upsert(spark, totals, f"{root}/nat_running", "key")
+    with persisting() as keep:
+        hourly = keep(with_day(nat.nat_hour(flow, dedupe), "hour").withColumn("interval", F.col("hour")))
+        append_report(hourly, f"{root}/nat_hour", INTERVAL, hourly.select(*INTERVAL).distinct().count())
+        days = [tuple(r) for r in hourly.select("dt").distinct().collect()]
+        stored = touched_partitions(spark.read.parquet(f"{root}/nat_hour"), ("dt",), days)
+        totals = stored.groupBy("key", "accesstime", "types", "data", "dt").agg(F.sum("count").alias("count"))
+        upsert(spark, totals, f"{root}/nat_running", "key", buckets=buckets)
 
 
 def run_days(spark: SparkSession, lines: DataFrame, target: str) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from pathlib import Path
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -36,12 +39,14 @@ def test_upsert_that_breaks_off_keeps_old_or_new_rows(spark, tmp_path, monkeypat
     path = str(tmp_path / "t")
     old = [(10, "a", 1), (90000, "c", 1)]
     tables.upsert(spark, tables.with_day(report(spark, *old)), path, "key")
-    real, moved = tables.files.rename, []
+    real, moved, lock = tables.files.rename, [], threading.Lock()
 
     def rename(session, source, target):
-        if len(moved) >= moves + (moves > 0):
-            raise OSError("broke off")
-        moved.append(target)
+        # Partitions are moved by several threads.
+        with lock:
+            if len(moved) >= moves + (moves > 0):
+                raise OSError("broke off")
+            moved.append(target)
         return real(session, source, target)
 
     with monkeypatch.context() as patch:
@@ -59,6 +64,48 @@ def test_upsert_that_breaks_off_keeps_old_or_new_rows(spark, tmp_path, monkeypat
     assert rows_of(spark.read.parquet(path), "key", "number") == sorted([*want, ("e", 5)], key=repr)
 
 
+def files_of(path):
+    return {p for p in Path(path).rglob("*.parquet") if "_staged" not in str(p)}
+
+
+def test_upsert_rewrites_only_the_buckets_that_get_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(t, f"k{i}", i) for i in range(64) for t in (10 + i,)] + [(90000 + i, f"n{i}", i) for i in range(64)]
+    tables.upsert(spark, tables.with_day(report(spark, *rows)), path, "key", buckets=8)
+    before = files_of(path)
+    assert len({p.parent for p in before}) == 16
+    tables.upsert(spark, tables.with_day(report(spark, (99, "k3", 300), (98, "new", 7))), path, "key", buckets=8)
+    after = files_of(path)
+    assert 1 <= len({p.parent for p in before - after}) <= 2
+    want = sorted([(k, n) for _, k, n in rows if k != "k3"] + [("k3", 300), ("new", 7)], key=repr)
+    assert rows_of(spark.read.parquet(path), "key", "number") == want
+    with pytest.raises(ValueError, match="8 buckets, not 1"):
+        tables.upsert(spark, tables.with_day(report(spark, (99, "k3", 1))), path, "key")
+    assert files_of(path) == after
+
+
+def test_touched_partitions_reach_the_scan_and_nulls_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "key string, dt int, bucket int"
+    rows = [("a", 1, 0), ("b", 1, 1), ("c", 2, 0), ("d", 2, 1), ("e", None, 0)]
+    spark.createDataFrame(rows, schema).write.partitionBy("dt", "bucket").parquet(path)
+    table = spark.read.parquet(path)
+    got = tables.touched_partitions(table, ("dt", "bucket"), [(1, 0), (2, 1), (None, 0)])
+    assert rows_of(got, "key") == [("a",), ("d",), ("e",)]
+    one = tables.touched_partitions(table, ("dt",), [(1,)])
+    assert rows_of(one, "key") == [("a",), ("b",)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "dt" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_upsert_keeps_rows_without_a_day(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("k", 1, None), ("l", 2, None), ("m", 3, 20240101)], "key string, n int, dt int")
+    tables.upsert(spark, rows, path, "key")
+    tables.upsert(spark, spark.createDataFrame([("k", 9, None)], "key string, n int, dt int"), path, "key")
+    assert rows_of(spark.read.parquet(path), "key", "n") == [("k", 9), ("l", 2), ("m", 3)]
+
+
 def test_insert_if_absent(spark):
     old = spark.createDataFrame([("a", 1)], "domain string, counts int")
     new = spark.createDataFrame([("a", 9), ("b", 9)], "domain string, counts int")
