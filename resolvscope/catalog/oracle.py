@@ -714,6 +714,18 @@ QUERIES["join_district"] = f"""
     LEFT JOIN (SELECT {DISTRICT} FROM customer) USING (userName)
 """
 QUERIES["join_domain_type_nest"] = totals_sql("daytotal_day", False, nest=True)
+QUERIES["join_district_as_of"] = """
+    WITH snap AS (
+      SELECT o_custkey::VARCHAR AS userName, year(o_orderdate) * 10000 + 101 AS dt, max(month(o_orderdate)) AS rid1, count(*) AS rid2
+      FROM orders GROUP BY ALL),
+    held AS (SELECT DISTINCT dt FROM snap),
+    dated AS (
+      SELECT l_orderkey, l_linenumber, o_custkey::VARCHAR AS userName, strftime(l_shipdate, '%Y%m%d')::INT AS day
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT l_orderkey, l_linenumber, d.userName AS userName, day, coalesce(rid1, 0) AS rid1, coalesce(rid2, 0) AS rid2
+    FROM (SELECT *, (SELECT max(dt) FROM held WHERE dt <= day) AS last FROM dated) d
+      LEFT JOIN snap s ON s.userName = d.userName AND s.dt = d.last
+"""
 QUERIES["join_domain_client_type_nest"] = totals_sql("daytotal_day", True, nest=True)
 QUERIES["join_profile_full_outer"] = f"""
     SELECT '20240131_' || u.username AS id, 1706659200000::BIGINT AS accesstime, u.username AS username, coalesce(domains, '[]') AS domains,

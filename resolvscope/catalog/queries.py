@@ -35,7 +35,7 @@ from ..plans import five_minute, profiles, rollups
 from ..session import work_path
 from ..sinks import tables
 from ..sinks.ledger import read_committed
-from ..sources import logs, lookups as src, reports
+from ..sources import history, logs, lookups as src, reports
 from ..streaming import reports as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -492,6 +492,20 @@ def _(spark, folder):
     return enrich.with_district(users, fx.district(spark, folder))
 
 
+@query("join_district_as_of")
+def _(spark, folder):
+    """Shipped lines with their customer's district of the day; a snapshot a year holds that year's customers."""
+    orders = fx.table(spark, folder, "orders")
+    user = F.col("o_custkey").cast("string").alias("userName")
+    year = (F.year("o_orderdate") * 10000 + 101).alias("dt")
+    snapshots = orders.groupBy(user, year).agg(F.max(F.month("o_orderdate")).alias("rid1"), F.count(F.lit(1)).alias("rid2"))
+    lines = fx.table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    dated = lines.select("l_orderkey", "l_linenumber", user, F.date_format("l_shipdate", "yyyyMMdd").cast("int").alias("day"))
+    rids = ["rid1", "rid2"]
+    known = history.as_of(dated, history.versions(snapshots, "userName", rids), "userName", rids, "day")
+    return known.withColumns({r: F.coalesce(r, F.lit(0)) for r in rids})
+
+
 def _nested(spark, folder, per_client):
     day = daily.day_totals(detail_rows(spark, folder))
     return daily.nested_domains(day, per_client).withColumn("resourceTypes", F.to_json("resourceTypes"))
