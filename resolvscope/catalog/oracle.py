@@ -785,6 +785,10 @@ QUERIES["agg_distinct_user_domain"] = "SELECT DISTINCT userName, domain FROM use
 QUERIES["agg_user_tags"] = "SELECT userName, array_to_string(tags, ',') AS tags FROM usertags_v"
 QUERIES["agg_user_bytes"] = f"SELECT clientName, {total('bytes', 'bytes')} FROM weighted_v GROUP BY ALL"
 QUERIES["agg_hour_points"] = "SELECT clientName, hour, points FROM hourbytes_v"
+QUERIES["agg_day_points"] = f"""
+    SELECT clientName, "timestamp" // 86400 * 86400 AS day, count(DISTINCT sourceIp) AS points, {total("bytes", "bytes")}
+    FROM flow_v GROUP BY ALL
+"""
 QUERIES["agg_user_24h"] = "SELECT * FROM curve_v"
 QUERIES["agg_day_detail"] = "SELECT * FROM daytotal_part"
 QUERIES["agg_hour_detail"] = "SELECT * FROM hour_v"

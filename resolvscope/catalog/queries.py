@@ -646,6 +646,14 @@ def _(spark, folder):
     return profile.hour_points(profile.weighted_flow(fx.flowmsg(spark, folder)))
 
 
+@query("agg_day_points")
+def _(spark, folder):
+    """Distinct sources of a day, merged from the masks of its hours."""
+    flow = fx.flowmsg(spark, folder).withColumns({"hour": bucket_hour(F.col("timestamp")), "day": bucket_day(F.col("timestamp"))})
+    hours = profile.source_masks(flow, ["clientName", "day", "hour"])
+    return profile.points(profile.merge_masks(hours, ["clientName", "day"]), ["clientName", "day"])
+
+
 @query("agg_user_24h")
 def _(spark, folder):
     curve = profile.day_curve(profile.weighted_flow(fx.flowmsg(spark, folder)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .enrich import UNKNOWN, with_app, with_district, with_domain_tags
@@ -52,7 +52,7 @@ def distinct_user_domain(rows: DataFrame) -> DataFrame:
 
 
 def user_tags(pairs: DataFrame, tags: DataFrame, auth_domain: DataFrame) -> DataFrame:
-    """Known labels of a user's domains, where the third label is known. Labels come from a closed list."""
+    """Known labels of a user's domains, where the third label is known; where it is none, a site's name stands for it."""
     labelled = with_domain_tags(pairs, tags, auth_domain).where(F.col("threeLabel") != UNKNOWN)
     label = labelled.select("userName", F.explode(F.array(*TAGS)).alias("tag")).where(F.col("tag") != UNKNOWN)
     return label.groupBy("userName").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
@@ -62,19 +62,56 @@ def user_bytes(flow: DataFrame) -> DataFrame:
     return flow.groupBy("clientName").agg(F.sum("bytes").alias("bytes"))
 
 
+# Addresses that share a mask, one bit each.
+_WIDTH = 64
+
+
+def _masked(source: str) -> dict[str, Column]:
+    """A source as block, part of the block and a bit; texts that do not end in an octet are a block of their own."""
+    text = F.col(source)
+    last = F.substring_index(text, ".", -1)
+    octet = last.try_cast("int")
+    plain = F.coalesce(text.contains(".") & (octet.cast("string") == last) & octet.between(0, 255), F.lit(False))
+    bit = F.expr(f"shiftleft(1L, try_cast(substring_index({source}, '.', -1) AS INT) % {_WIDTH})")
+    return {
+        "block": F.when(plain, F.substr(text, F.lit(1), F.length(text) - F.length(last) - 1)).otherwise(text),
+        "part": F.when(plain, F.floor(octet / _WIDTH).cast("int")).otherwise(-1),
+        "mask": F.when(plain, bit).when(text.isNotNull(), F.lit(1).cast("bigint")),
+    }
+
+
+def source_masks(flow: DataFrame, by: list[str]) -> DataFrame:
+    """The sources seen and the bytes per group, as masks of 64 neighbouring addresses.
+
+    Masks are exact and can be merged: those of a day are the unions of its hours' (:func:`merge_masks`).
+    """
+    keys = [*by, "block", "part"]
+    return flow.withColumns(_masked("sourceIp")).groupBy(*keys).agg(F.bit_or("mask").alias("mask"), F.sum("bytes").alias("bytes"))
+
+
+def merge_masks(masks: DataFrame, by: list[str]) -> DataFrame:
+    return masks.groupBy(*by, "block", "part").agg(F.bit_or("mask").alias("mask"), F.sum("bytes").alias("bytes"))
+
+
+def points(masks: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct sources and bytes per group."""
+    seen = F.coalesce(F.sum(F.bit_count("mask")), F.lit(0).cast("bigint"))
+    return masks.groupBy(*by).agg(F.sum("bytes").alias("bytes"), seen.alias("points"))
+
+
 def hour_points(flow: DataFrame) -> DataFrame:
     """Sources seen per client and hour."""
-    return flow.groupBy("clientName", "hour").agg(F.count_distinct("sourceIp").alias("points"))
+    by = ["clientName", "hour"]
+    return points(source_masks(flow, by), by).drop("bytes")
 
 
 def hour_bytes(flow: DataFrame) -> DataFrame:
     """Bytes per client and hour, divided by the sources seen: one pass yields both numbers."""
-    both = flow.groupBy("clientName", "hour").agg(
-        F.sum("bytes").alias("bytes"), F.count_distinct("sourceIp").alias("points")
-    )
+    by = ["clientName", "hour"]
+    both = points(source_masks(flow, by), by)
     # Rows without a source count as one point.
-    points = F.greatest(F.col("points"), F.lit(1))
-    return both.select("clientName", "hour", "points", F.call_function("div", "bytes", points).alias("byte"))
+    seen = F.greatest(F.col("points"), F.lit(1))
+    return both.select("clientName", "hour", "points", F.call_function("div", "bytes", seen).alias("byte"))
 
 
 def day_curve(flow: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import profile
 from ..operators.clean import keep_user_domains
 from ..operators.enrich import app_index
-from ..sinks.tables import upsert, with_day
+from ..functions import bucket_hour
+from ..sinks.tables import INTERVAL, append_report, touched_partitions, upsert, with_day
 from .five_minute import Keep, persisting
 
 
@@ -36,3 +38,21 @@ def run(
     with persisting() as keep:
         people = build(user_domains, flows, *lookups, day=day, accesstime=accesstime, keep=keep)
         upsert(spark, with_day(people), target, "id")
+
+
+SOURCES = "source_hour"
+
+
+def store_sources(flow: DataFrame, root: str) -> None:
+    """Store which sources each client used in the whole hours of ``flow``; an hour that runs again replaces its own rows."""
+    with persisting() as keep:
+        masks = profile.source_masks(flow.withColumn("hour", bucket_hour(F.col("timestamp"))), ["clientName", "hour"])
+        dated = keep(with_day(masks, "hour").withColumn("interval", F.col("hour")))
+        append_report(dated, f"{root}/{SOURCES}", INTERVAL, dated.select(*INTERVAL).distinct().count())
+
+
+def day_points(spark: SparkSession, root: str, days: list[int]) -> DataFrame:
+    """Distinct sources and bytes per client and day, from the stored hours of the days alone: at most 24 masks a block."""
+    by = ["clientName", "dt"]
+    stored = touched_partitions(spark.read.parquet(f"{root}/{SOURCES}"), ("dt",), [(d,) for d in days])
+    return profile.points(profile.merge_masks(stored, by), by)

@@ -17,7 +17,7 @@ from tools.compare import compare, connect
 SOME = [
     "src_dns_json", "src_report_range", "sink_upsert", "dns_parse_clean", "flt_bad_record", "join_client_by_range",
     "join_innet_flag", "join_domain_tags", "join_district_as_of", "join_domain_client_type_nest", "join_profile_full_outer", "agg_qps",
-    "agg_operator", "agg_business", "agg_trend_report", "agg_hour_detail", "agg_nat_hour", "topk_code_authority_client",
+    "agg_operator", "agg_business", "agg_trend_report", "agg_hour_detail", "agg_hour_points", "agg_day_points", "agg_user_24h", "agg_nat_hour", "topk_code_authority_client",
     "topk_user_error", "roll_qps_6h", "roll_user_hh", "roll_business_dd", "late_data_drop", "state_domain_day",
     "backfill_range", "fn_cidr_explode", "fn_authority_domain",
 ]
